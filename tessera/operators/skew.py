@@ -1,0 +1,23 @@
+"""Finding keys that hold too many rows for one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# At most this many keys can exceed the limit below, so the list of them is safe to broadcast.
+MAX_HOT_KEYS = 100_000
+
+
+def hot_keys(rows: DataFrame, key: str, floor: int) -> DataFrame | None:
+    """Keys with more than ``floor`` rows and more than 1/``MAX_HOT_KEYS`` of all rows.
+
+    Returns ``(key, rows)``, or None when there is no such key. Runs one counting job, combined
+    on the map side; only its total and maximum reach the driver.
+    """
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    total, largest = counts.agg(F.sum("rows"), F.max("rows")).first()
+    limit = max(floor, (total or 0) // MAX_HOT_KEYS)
+    if (largest or 0) <= limit:
+        return None
+    return counts.filter(F.col("rows") > limit)
