@@ -150,10 +150,14 @@ def raw_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     of_parts = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).join(
         supplier, F.col("l_suppkey") == F.col("s_suppkey")
     )
+    return of_parts.selectExpr(*_PART_ROWS).unionByName(raw_customers(spark, sf_dir))
+
+
+def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders", ["o_orderkey"])
     customer = table(spark, sf_dir, "customer")
     of_customers = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    return of_parts.selectExpr(*_PART_ROWS).unionByName(of_customers.selectExpr(*_CUSTOMER_ROWS))
+    return of_customers.selectExpr(*_CUSTOMER_ROWS)
 
 
 def facts(spark: SparkSession, sf_dir: str) -> Facts:
