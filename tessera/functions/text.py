@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera import config
 
-_BLANKS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+_BLANK = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 def _col(c: Column | str) -> Column:
@@ -36,7 +36,7 @@ def canonical_class(c: Column | str, allowed: tuple[str, ...] = config.OBJECT_CL
     text = clean(c)
     # In printable ASCII the only whitespace is the space; the full class of blanks is slower.
     exotic = text.rlike("[^ -~]")
-    spaced = F.when(exotic, F.regexp_replace(text, _BLANKS, " ")).otherwise(
+    spaced = F.when(exotic, F.regexp_replace(text, f"{_BLANK}+", " ")).otherwise(
         F.regexp_replace(text, " +", " ")
     )
     text = F.lower(spaced)
@@ -51,24 +51,32 @@ def parse_authors(rows: DataFrame, cell: str) -> DataFrame:
     """Replace a column of ``'Name (ID)'`` cells by ``p_identifier`` and ``p_name``.
 
     Everything between the first opening bracket and a bracket that ends the text is the id, what
-    precedes it the name; neither may hold a line break. Cells that read otherwise, or whose id is
-    blank, have no id and no name; the name alone is null when only ``'(ID)'`` is given.
+    precedes it the name. Cells that read otherwise, or whose id is blank, have no id and no name;
+    the name alone is null when only ``'(ID)'`` is given.
 
     Plain string functions take the text apart, which costs a fraction of matching a pattern for
-    each part, and each step is a projection of its own so that nothing is computed twice.
+    each part; only cells with a line break, which must not fall inside either part, need the
+    pattern. Each step is a projection of its own, so that nothing is computed twice.
     """
     others = [c for c in rows.columns if c != cell]
-    text = rows.select(*others, clean(cell).alias("_text"))
-    cut = text.select(*others, "_text", F.substring_index("_text", "(", 1).alias("_before"))
+    text = rows.select(*others, clean(cell).alias("_text"), F.col(cell).alias("_raw"))
+    cut = text.select(*others, "_text", "_raw", F.substring_index("_text", "(", 1).alias("_before"))
     rest = F.length("_text") - F.length("_before")
     closed = F.col("_text").endswith(")") & (rest > 2)
+    broken = F.col("_raw").contains("\n")
+    # (?d): only the line feed ends a line.
+    pattern = "(?d)" + config.AUTHOR_PATTERN.replace(r"\s", _BLANK)
+    inside = F.substr("_text", F.length("_before") + 2, rest - 2)
     parts = cut.select(
         *others,
-        clean("_before").alias("_name"),
-        F.when(closed, clean(F.substr("_text", F.length("_before") + 2, rest - 2))).alias("_id"),
+        F.when(broken, clean(F.regexp_extract("_raw", pattern, 2)))
+        .when(closed, clean(inside))
+        .alias("_id"),
+        F.when(broken, clean(F.regexp_extract("_raw", pattern, 1)))
+        .otherwise(clean("_before"))
+        .alias("_name"),
     )
-    one_line = ~F.col("_name").contains("\n") & ~F.col("_id").contains("\n")
-    known = (F.col("_id") != "") & one_line
+    known = F.col("_id") != ""
     result = parts.select(
         *others,
         F.when(known, F.col("_id")).alias("p_identifier"),
