@@ -18,8 +18,15 @@ def _col(c: Column | str) -> Column:
 
 
 def clean(c: Column | str) -> Column:
-    """Strip the whitespace Python strips, not only the space character."""
-    return F.btrim(_col(c), F.lit(config.WHITESPACE))
+    """Strip the whitespace Python strips, not only the space character.
+
+    Text that starts and ends with a printable ASCII character, as most does, is passed through
+    without a search among all the blanks there are.
+    """
+    text = _col(c)
+    ends = [F.substr(text, F.lit(position), F.lit(1)) for position in (1, -1)]
+    plain = ends[0].between("!", "~") & ends[1].between("!", "~")
+    return F.when(plain, text).otherwise(F.btrim(text, F.lit(config.WHITESPACE)))
 
 
 def blank_to_null(c: Column | str) -> Column:
@@ -30,17 +37,17 @@ def canonical_class(c: Column | str, allowed: tuple[str, ...] = config.OBJECT_CL
     """``'Nautical chart'`` -> ``'NauticalChart'``; anything that is not an allowed class is null.
 
     The words of the text, whatever their case, must be the words of the class name, so the single
-    word ``'NauticalChart'`` is rejected. One lookup per row.
+    word ``'NauticalChart'`` is rejected. The text must be clean; see ``clean``.
     """
+    text = _col(c)
     names = [part for name in allowed for part in (F.lit(_words(name)), F.lit(name))]
-    text = clean(c)
-    # In printable ASCII the only whitespace is the space; the full class of blanks is slower.
-    exotic = text.rlike("[^ -~]")
-    spaced = F.when(exotic, F.regexp_replace(text, f"{_BLANK}+", " ")).otherwise(
-        F.regexp_replace(text, " +", " ")
+    # In printable ASCII the only blank is the space; other blanks need the slower replacement.
+    spaced = (
+        F.when(text.rlike("[^ -~]"), F.regexp_replace(text, f"{_BLANK}+", " "))
+        .when(text.contains("  "), F.regexp_replace(text, " +", " "))
+        .otherwise(text)
     )
-    text = F.lower(spaced)
-    return F.try_element_at(F.create_map(*names), text)
+    return F.try_element_at(F.create_map(*names), F.lower(spaced))
 
 
 def _words(name: str) -> str:

@@ -72,9 +72,13 @@ def clean_objects(raw: DataFrame) -> DataFrame:
     Blank text becomes null in every column, so a whitespace-only identifier is dropped as well.
     Columns that are not part of an object file (``source``) are kept as they are.
     """
-    cells = [fn.blank_to_null(c).alias(c) for c in config.OBJECT.names() if c != "class"]
     extra = [c for c in raw.columns if c not in config.OBJECT.names()]
-    cleaned = raw.select(*extra, *cells, fn.canonical_class("class").alias("class"))
+    text = raw.select(*extra, *[fn.clean(c).alias(c) for c in config.OBJECT.names()])
+    cells = [
+        (fn.canonical_class(c) if c == "class" else F.nullif(c, F.lit(""))).alias(c)
+        for c in config.OBJECT.names()
+    ]
+    cleaned = text.select(*extra, *cells)
     cleaned = fn.computed_once(cleaned, "identifier", "class")
     return cleaned.filter(F.col("identifier").isNotNull() & F.col("class").isNotNull())
 

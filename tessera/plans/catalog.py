@@ -111,7 +111,7 @@ def b2_blank_to_null(spark, sf):
 @query
 def b3_class_canonical(spark, sf):
     raw = samples.raw_objects(spark, sf)
-    return _bag(raw.select(F.col("class").alias("text"), fn.canonical_class("class").alias("class")))
+    return _bag(raw.select(F.col("class").alias("text"), fn.canonical_class(fn.clean("class")).alias("class")))
 
 
 @query

@@ -15,7 +15,7 @@ def apply(spark, values, column, schema="v string"):
 
 
 def test_clean_strips_what_python_strips(spark):
-    values = [f"{c}a b{c}{c}" for c in config.WHITESPACE] + ["", "  ", "​x"]
+    values = [f"{c}a b{c}{c}" for c in config.WHITESPACE] + ["", "  ", "x", " x", "x ", "é ", "a\u3000", "​x"]
     assert apply(spark, values, fn.clean("v")) == [v.strip() for v in values]
     assert {chr(i) for i in range(0x11000) if chr(i).isspace()} == set(config.WHITESPACE)
 
@@ -42,7 +42,7 @@ def test_blank_to_null(spark):
     ],
 )
 def test_canonical_class(spark, text, expected):
-    assert apply(spark, [text], fn.canonical_class("v")) == [expected]
+    assert apply(spark, [text], fn.canonical_class(fn.clean("v"))) == [expected]
 
 
 def test_canonical_class_equals_capitalised_words(spark):
@@ -54,7 +54,7 @@ def test_canonical_class_equals_capitalised_words(spark):
         name = "".join(word.capitalize() for word in text.split())
         return name if name in config.OBJECT_CLASSES else None
 
-    assert apply(spark, texts, fn.canonical_class("v")) == [canonical(t) for t in texts]
+    assert apply(spark, texts, fn.canonical_class(fn.clean("v"))) == [canonical(t) for t in texts]
 
 
 def test_parse_authors_equals_the_pattern(spark):
