@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from tessera import config
 from tessera import functions as fn
-from tessera.operators.objects import OBJECT_KEY, Facts, matching, people_rows
-from tessera.operators.skew import hot_keys
+from tessera.operators.objects import OBJECT_KEY, Facts, matching, people_rows, span_names
+from tessera.operators.skew import hot_keys, keys_above
 from tessera.session import ensure_checkpoint_dir
 
 REQUIRED = config.OBJECT.required()
@@ -41,11 +41,11 @@ def settle_conflicts(records: DataFrame) -> DataFrame:
     return records.groupBy(*OBJECT_KEY).agg(*smallest)
 
 
-def _authors_per_source(links: DataFrame) -> DataFrame:
-    return links.filter(F.col("identifier").isNotNull()).groupBy(*OBJECT_KEY).agg(
-        F.min("p_name").alias("first_name"),
-        F.max("p_name").alias("last_name"),
-        F.max(F.col("p_name").isNull()).alias("nameless"),
+def _authors_per_source(spans: DataFrame) -> DataFrame:
+    return spans.filter(F.col("identifier").isNotNull()).groupBy(*OBJECT_KEY).agg(
+        F.min("first_name").alias("first_name"),
+        F.max("last_name").alias("last_name"),
+        F.max("nameless").alias("nameless"),
     )
 
 
@@ -55,11 +55,11 @@ def _place(after_named: Column, name: Column, source: Column) -> Column:
 
 
 def resolve_objects(
-    records: DataFrame, links: DataFrame, within: DataFrame | None = None
+    records: DataFrame, spans: DataFrame, within: DataFrame | None = None
 ) -> DataFrame:
     """Valid objects with their filled attributes, one row each.
 
-    ``within`` limits them to some objects, named by ``identifier`` or ``source, identifier``. It
+    ``spans`` are the authors as ``Facts.name_spans`` gives them. ``within`` limits them to some objects, named by ``identifier`` or ``source, identifier``. It
     is applied after the first aggregation, when no object has more than a row per source.
 
     Also returns ``named`` (is there an author with a name) and ``valid_up_to``, the position of
@@ -71,7 +71,7 @@ def resolve_objects(
     author's, which leaves the author half defined and the row invalid.
     """
     settled = _semi(settle_conflicts(records), within)
-    per_source = settled.join(_authors_per_source(links), OBJECT_KEY, "left")
+    per_source = settled.join(_authors_per_source(spans), OBJECT_KEY, "left")
     # One row per source in each window partition.
     same_object = Window.partitionBy("identifier")
     nameless = F.coalesce("nameless", F.lit(False))
@@ -108,15 +108,16 @@ def resolve_objects(
     )
 
 
-def resolve_authors(links: DataFrame) -> DataFrame:
+def resolve_authors(spans: DataFrame) -> DataFrame:
     """The first row of every object and named author, with its position in the object."""
-    position = _place(F.lit(False), F.col("p_name"), F.col("source"))
-    # Nameless rows are skipped by the aggregate, not by a filter, which would be pushed below
-    # the join of the links and make a second, different join of it.
+    name = F.col("first_name")
+    position = _place(F.lit(False), name, F.col("source"))
+    # Nameless authors are skipped by the aggregate, not by a filter, which would be pushed below
+    # the join of the authors and make a second, different join of it.
     return (
-        links.filter(F.col("identifier").isNotNull())
+        spans.filter(F.col("identifier").isNotNull())
         .groupBy("identifier", "p_identifier")
-        .agg(F.min(F.when(F.col("p_name").isNotNull(), position)).alias("position"))
+        .agg(F.min(F.when(name.isNotNull(), position)).alias("position"))
         .filter(F.col("position").isNotNull())
         .select("identifier", "p_identifier", F.col("position.name").alias("p_name"), "position")
     )
@@ -130,8 +131,11 @@ def _semi(rows: DataFrame, within: DataFrame | None) -> DataFrame:
 
 def object_entities(facts: Facts, within: DataFrame | None = None) -> DataFrame:
     """Integrated objects without their authors, one row each."""
-    links = Facts(facts.records, _semi(facts.authored, within), facts.person).links()
-    return resolve_objects(facts.records, links, within)
+    return resolve_objects(facts.records, _spans(facts, within), within)
+
+
+def _spans(facts: Facts, within: DataFrame | None) -> DataFrame:
+    return Facts(facts.records, _semi(facts.authored, within), facts.person).name_spans()
 
 
 def to_objects(facts: Facts, within: DataFrame | None = None) -> DataFrame:
@@ -140,10 +144,8 @@ def to_objects(facts: Facts, within: DataFrame | None = None) -> DataFrame:
     An object without authors has one row with null author columns. Objects with very many
     authors stay spread over many rows and tasks; ``nest_authors`` turns the rows into lists.
     """
-    links = Facts(facts.records, _semi(facts.authored, within), facts.person).links()
-    return join_authors(
-        resolve_objects(facts.records, links, within), resolve_authors(links)
-    )
+    spans = _spans(facts, within)
+    return join_authors(resolve_objects(facts.records, spans, within), resolve_authors(spans))
 
 
 def join_authors(objects: DataFrame, authors: DataFrame) -> DataFrame:
@@ -166,10 +168,10 @@ def join_authors(objects: DataFrame, authors: DataFrame) -> DataFrame:
 
 
 def facts_of_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows as ``object_rows`` gives them -> (records, links), to integrate any query result."""
+    """Rows as ``object_rows`` gives them -> (records, spans), to integrate any query result."""
     records = rows.select("source", *config.OBJECT_COLUMNS)
-    links = rows.filter(F.col("p_identifier").isNotNull()).select(*OBJECT_KEY, *config.AUTHOR_COLUMNS)
-    return records, links
+    authors = rows.filter(F.col("p_identifier").isNotNull())
+    return records, span_names(authors, [*OBJECT_KEY, "p_identifier"])
 
 
 def nest_authors(flat: DataFrame, list_rows: int = 100_000) -> DataFrame:
@@ -184,12 +186,12 @@ def nest_authors(flat: DataFrame, list_rows: int = 100_000) -> DataFrame:
     listed = F.array_sort(F.collect_list(F.when(F.col("p_identifier").isNotNull(), author)))
     authors = F.transform(listed, lambda a: F.struct(a["id"].alias("id"), a["name"].alias("name")))
     firsts = [F.first(c).alias(c) for c in config.OBJECT_VALUES]
-    hot = hot_keys(flat, "identifier", list_rows)
-    if hot is None:
+    long = keys_above(flat, "identifier", list_rows)
+    if long is None:
         nested = flat.groupBy("identifier").agg(*firsts, authors.alias("authors"))
         return nested.select(*columns, "authors", F.lit(0).alias("part"))
     parts = F.coalesce(F.ceil(F.col("rows") / list_rows), F.lit(1))
-    salted = flat.join(F.broadcast(hot), "identifier", "left").withColumn(
+    salted = flat.join(long, "identifier", "left").withColumn(
         "part", F.pmod(F.xxhash64("p_identifier"), parts).cast("int")
     )
     # An exchange of its own: otherwise the grouping would reuse a layout by identifier alone.
@@ -249,14 +251,23 @@ def to_activities(activities: DataFrame, objects: DataFrame) -> DataFrame:
 
 
 def order_activities(activities: DataFrame) -> DataFrame:
-    """By object, then by precedence of the class."""
-    return activities.orderBy(*fn.natural_order("refersTo"), fn.class_rank("class").asc_nulls_last())
+    """By object, then by precedence of the class.
+
+    The rest of the row, and at last the task it comes from, only break ties, so that the equal
+    activities of one object, however many, can be sorted by more than one task.
+    """
+    columns = activities.columns
+    ties = [c for c in ("start", "end", "institute", "person", "technique", "tool") if c in columns]
+    order = [*fn.natural_order("refersTo"), fn.class_rank("class").asc_nulls_last(), *ties, "_task"]
+    placed = activities.withColumn("_task", F.spark_partition_id())
+    return placed.orderBy(*order).select(*columns)
 
 
 def order_objects(objects: DataFrame) -> DataFrame:
+    """By identifier, then by author name; the rest of the row breaks ties."""
     order = fn.natural_order("identifier")
-    if "p_name" in objects.columns:
-        order += [F.col("p_name").asc_nulls_last(), F.col("p_identifier").asc_nulls_last()]
+    rest = [*reversed(config.AUTHOR_COLUMNS), *config.OBJECT_VALUES]
+    order += [F.col(c).asc_nulls_last() for c in rest if c in objects.columns]
     return objects.orderBy(*order)
 
 

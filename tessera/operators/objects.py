@@ -47,6 +47,15 @@ class Facts:
         """
         return self.authored.join(self.person, PERSON_KEY, "left")
 
+    def name_spans(self) -> DataFrame:
+        """Who made what, one row each, with the first and last name the source knows for the
+        person and whether it also has the person without a name.
+
+        People are reduced before the join: an id that stands for very many names, on very many
+        objects, would otherwise give every pair of the two.
+        """
+        return self.authored.join(span_names(self.person, PERSON_KEY), PERSON_KEY, "left")
+
     def within(self, objects: DataFrame) -> Facts:
         """The facts about some objects, named by ``identifier`` or ``source, identifier``."""
         on = [c for c in OBJECT_KEY if c in objects.columns]
@@ -63,6 +72,14 @@ class Facts:
         )
 
 
+def span_names(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.groupBy(*keys).agg(
+        F.min("p_name").alias("first_name"),
+        F.max("p_name").alias("last_name"),
+        F.max(F.col("p_name").isNull()).alias("nameless"),
+    )
+
+
 # -- ingest ---------------------------------------------------------------------------------------
 
 
@@ -229,6 +246,12 @@ def authors_of(facts: Facts, objects) -> DataFrame:
     )
 
 
+def people_behind(facts: Facts, objects) -> DataFrame:
+    """People rows for the authors of some objects, once each."""
+    found = matching("identifier", objects)(facts.authored).select(*PERSON_KEY).distinct()
+    return people_rows(Facts(facts.records, facts.authored, facts.person.join(found, PERSON_KEY, "left_semi")))
+
+
 def related_by(facts: Facts, path: tuple[str, ...] | str, values) -> DataFrame:
     """Resolve a relation path to the matching entities as ``(source, identifier)``.
 

@@ -21,3 +21,10 @@ def hot_keys(rows: DataFrame, key: str, floor: int) -> DataFrame | None:
     if (largest or 0) <= limit:
         return None
     return counts.filter(F.col("rows") > limit)
+
+
+def keys_above(rows: DataFrame, key: str, limit: int) -> DataFrame | None:
+    """Keys with more than ``limit`` rows, as ``(key, rows)``, or None; there may be many of them."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    above = counts.filter(F.col("rows") > limit)
+    return None if above.isEmpty() else above

@@ -208,7 +208,7 @@ def b15_id_join(spark, sf):
 @query
 def b16_accessors(spark, sf):
     rows = _mashup(spark, sf).getAllActivities()
-    return _bag(rows.select("class", "institute", "person", "object.title", "object.owner"))
+    return rows.select("class", "institute", "person", "object.title", "object.owner")
 
 
 # -- filters --------------------------------------------------------------------------------------
@@ -315,12 +315,12 @@ def d6_authors_of_object(spark, sf):
 def d7_activity_objects(spark, sf):
     found = act.all_activities(samples.activities(spark, sf))
     objects = joint.object_entities(samples.facts(spark, sf))
-    return _bag(_text(joint.to_activities(found, objects)))
+    return _text(joint.to_activities(found, objects))
 
 
 @query
 def d8_activities_by_author(spark, sf):
-    return _bag(_text(_mashup(spark, sf).getActivitiesOnObjectsAuthoredBy("S:7")))
+    return _text(_mashup(spark, sf).getActivitiesOnObjectsAuthoredBy("S:7"))
 
 
 @query
@@ -474,7 +474,7 @@ def l2_objects(spark, sf):
 @query
 def l3_activities(spark, sf):
     found = act.all_activities(samples.activities(spark, sf))
-    return _bag(_text(_mashup(spark, sf).toActivity(found)))
+    return _text(_mashup(spark, sf).toActivity(found))
 
 
 @query
@@ -499,34 +499,34 @@ def m4_objects_authored_by(spark, sf):
 
 @query
 def m5_all_activities(spark, sf):
-    return _bag(_text(_mashup(spark, sf).getAllActivities()))
+    return _text(_mashup(spark, sf).getAllActivities())
 
 
 @query
 def m6_by_institution(spark, sf):
-    return _bag(_text(_mashup(spark, sf).getActivitiesByResponsibleInstitution("mach")))
+    return _text(_mashup(spark, sf).getActivitiesByResponsibleInstitution("mach"))
 
 
 @query
 def m7_by_person(spark, sf):
-    return _bag(_text(_mashup(spark, sf).getActivitiesByResponsiblePerson("omer#00000001")))
+    return _text(_mashup(spark, sf).getActivitiesByResponsiblePerson("omer#00000001"))
 
 
 @query
 def m8_using_tool(spark, sf):
-    return _bag(_text(_mashup(spark, sf).getActivitiesUsingTool("blend")))
+    return _text(_mashup(spark, sf).getActivitiesUsingTool("blend"))
 
 
 @query
 def m9_started_after(spark, sf):
-    return _bag(_text(_mashup(spark, sf).getActivitiesStartedAfter("2024-01-20")))
+    return _text(_mashup(spark, sf).getActivitiesStartedAfter("2024-01-20"))
 
 
 @query
 def m10_ended_before(spark, sf):
-    return _bag(_text(_mashup(spark, sf).getActivitiesEndedBefore("2024-01-10")))
+    return _text(_mashup(spark, sf).getActivitiesEndedBefore("2024-01-10"))
 
 
 @query
 def m11_by_technique(spark, sf):
-    return _bag(_text(_mashup(spark, sf).getAcquisitionsByTechnique("photo")))
+    return _text(_mashup(spark, sf).getAcquisitionsByTechnique("photo"))

@@ -69,9 +69,9 @@ class Mashup:
 
     def toCHO(self, rows: DataFrame) -> DataFrame:
         """Objects from rows of any query over single sources."""
-        records, links = joint.facts_of_rows(rows)
-        resolved = joint.resolve_objects(records, links)
-        return self._objects(joint.join_authors(resolved, joint.resolve_authors(links)))
+        records, spans = joint.facts_of_rows(rows)
+        resolved = joint.resolve_objects(records, spans)
+        return self._objects(joint.join_authors(resolved, joint.resolve_authors(spans)))
 
     def toActivity(self, found: DataFrame) -> DataFrame:
         """Activities with their objects, looking up only the objects they refer to."""
@@ -104,7 +104,7 @@ class Mashup:
         return self._objects(joint.to_objects(self.facts()))
 
     def getAuthorsOfCulturalHeritageObject(self, objectId) -> DataFrame:
-        return self.toPerson(obj.authors_of(self.facts(), objectId))
+        return self.toPerson(obj.people_behind(self.facts(), objectId))
 
     def getCulturalHeritageObjectsAuthoredBy(self, personId) -> DataFrame:
         """Seen only by the sources that know of the link, so with what those sources hold."""
@@ -159,4 +159,4 @@ class Mashup:
     def getAuthorsOfObjectsAcquiredInTimeFrame(self, start: str, end: str) -> DataFrame:
         """The objects themselves need not be valid."""
         ids = self._handled(act.acquired_between(start, end))
-        return self.toPerson(obj.authors_of(self.facts(), ids))
+        return self.toPerson(obj.people_behind(self.facts(), ids))

@@ -300,11 +300,9 @@ def _described(condition: str = "TRUE", tool: str = "tool", objects: str = "") -
     values = ", ".join(f"e.{c} AS object_{c}" for c in ("class", "title", "owner", "place", "date"))
     fields = ", ".join(f"a.{c.strip()}" for c in _FIELDS.split(","))
     return (
-        f"WITH {_integrated()}, {_ACTIVITIES} "
-        + _bag(
-            f"{fields}, {_tool_set('a.' + tool if tool == 'tool' else tool)} AS tool, {values}",
-            f"activity a JOIN entity e ON a.refersTo = e.identifier WHERE {condition} {objects}",
-        )
+        f"WITH {_integrated()}, {_ACTIVITIES}"
+        f" SELECT {fields}, {_tool_set('a.' + tool if tool == 'tool' else tool)} AS tool, {values}"
+        f" FROM activity a JOIN entity e ON a.refersTo = e.identifier WHERE {condition} {objects}"
     )
 
 
@@ -415,11 +413,9 @@ ORACLES: dict[str, str] = {
         """(SELECT * FROM activity WHERE refersTo = '7'
         UNION ALL SELECT * FROM activity WHERE refersTo IN ('7', 'C8', 'no such id'))""",
     ),
-    "b16_accessors": f"WITH {_integrated()}, {_ACTIVITIES} "
-    + _bag(
-        "a.class, a.institute, a.person, e.title, e.owner",
-        "activity a JOIN entity e ON a.refersTo = e.identifier",
-    ),
+    "b16_accessors": f"""WITH {_integrated()}, {_ACTIVITIES}
+      SELECT a.class, a.institute, a.person, e.title, e.owner
+      FROM activity a JOIN entity e ON a.refersTo = e.identifier""",
     "c1_by_identifier": f"WITH {_ROWS} SELECT * FROM object_rows"
     " WHERE identifier IN ('1', '12', 'C8', 'S:1')",
     "c2_by_institution": _listed(_like("institute", "uRNIT")),

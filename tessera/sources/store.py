@@ -38,7 +38,10 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def _sorted_by(rows: DataFrame, columns: list[str]) -> DataFrame:
-    return rows.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    """In ranges of the columns; equal rows, however many, may go to more than one range."""
+    placed = rows.withColumn("_task", F.spark_partition_id())
+    ranged = placed.repartitionByRange(*columns, "_task").sortWithinPartitions(*columns)
+    return ranged.drop("_task")
 
 
 class ObjectStore:

@@ -165,6 +165,20 @@ def test_people_take_the_smallest_name(spark):
     assert tuples(joint.to_people(rows)) == [("p", "a")]
 
 
+def test_one_id_with_many_names_on_many_objects(spark):
+    """Names are reduced before they meet the objects, so no pairs of the two arise."""
+    n = 300
+    stored = facts(
+        spark,
+        [(1, f"{i}", "Map", "t", "w", "p", None) for i in range(n)],
+        [(1, f"{i}", "a") for i in range(n)],
+        [(1, "a", f"name {j:03d}") for j in range(n)] + [(1, "a", None)],
+    )
+    assert stored.name_spans().count() == n
+    assert {r.p_name for r in joint.to_objects(stored).collect()} == {"name 000"}
+    assert obj.people_behind(stored, [str(i) for i in range(n)]).count() == n + 1
+
+
 def small(spark):
     return facts(
         spark,
