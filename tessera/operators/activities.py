@@ -76,7 +76,9 @@ def is_valid() -> Column:
 
 def activities_from(rows: DataFrame) -> DataFrame:
     """Clean and keep what is valid; invalid rows are dropped, duplicates stay."""
-    return clean_activities(rows).filter(is_valid())
+    cleaned = clean_activities(rows)
+    judged = fn.computed_once(cleaned, "class", "refersTo", "technique", "institute")
+    return judged.select(*cleaned.columns).filter(is_valid())
 
 
 # -- reading --------------------------------------------------------------------------------------

@@ -87,16 +87,15 @@ def clean_objects(raw: DataFrame) -> DataFrame:
     """Trim all columns, canonicalise the class, drop rows without identifier or class.
 
     Blank text becomes null in every column, so a whitespace-only identifier is dropped as well.
-    Columns that are not part of an object file (``source``) are kept as they are.
+    Works on those columns of an object file that are there; others (``source``) stay as they are.
     """
-    extra = [c for c in raw.columns if c not in config.OBJECT.names()]
-    text = raw.select(*extra, *[fn.clean(c).alias(c) for c in config.OBJECT.names()])
+    names = [c for c in config.OBJECT.names() if c in raw.columns]
+    extra = [c for c in raw.columns if c not in names]
+    text = raw.select(*extra, *[fn.clean(c).alias(c) for c in names])
     cells = [
-        (fn.canonical_class(c) if c == "class" else F.nullif(c, F.lit(""))).alias(c)
-        for c in config.OBJECT.names()
+        (fn.canonical_class(c) if c == "class" else F.nullif(c, F.lit(""))).alias(c) for c in names
     ]
-    cleaned = text.select(*extra, *cells)
-    cleaned = fn.computed_once(cleaned, "identifier", "class")
+    cleaned = fn.computed_once(text.select(*extra, *cells), *names)
     return cleaned.filter(F.col("identifier").isNotNull() & F.col("class").isNotNull())
 
 
@@ -109,10 +108,10 @@ def split_authors(cleaned: DataFrame) -> DataFrame:
 
 def facts_from(raw: DataFrame) -> Facts:
     """Facts of raw object rows that carry a ``source`` column."""
-    cleaned = clean_objects(raw)
-    authors = split_authors(cleaned)
+    described = clean_objects(raw.select("source", *config.OBJECT_COLUMNS))
+    authors = split_authors(clean_objects(raw.select(*OBJECT_KEY, "class", "hasAuthor")))
     return Facts(
-        cleaned.select("source", *config.OBJECT_COLUMNS),
+        described.select("source", *config.OBJECT_COLUMNS),
         authors.select(*OBJECT_KEY, "p_identifier"),
         authors.select(*PERSON_KEY, "p_name"),
     ).distinct()
