@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import logging
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,7 +70,7 @@ class UploadHandler(Handler):
             return False
         try:
             self._push(self._store(), path)
-        except PySparkException as error:
+        except (PySparkException, Py4JJavaError) as error:
             if not any(name in str(error) for name in _BAD_INPUT):
                 raise
             log.warning("nothing pushed from %s: %s", path, error)
