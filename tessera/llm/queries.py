@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import packing, token_files
+from tessera.llm import packing, pieces, token_files
 from tessera.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op2_piece_encoding(spark, sf):
+    rows = pieces.encoded_and_decoded(table(spark, sf, "documents"), public_tokenizers.path(PIECE_BPE))
+    return rows.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op3_token_files(spark, sf):
     docs = table(spark, sf, "documents")
