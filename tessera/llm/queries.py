@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import packing, pieces, token_files
+from tessera.llm import packing, pieces, quality, token_files
 from tessera.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,10 @@ def op8_best_fit_packing(spark, sf):
     return packed.select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
     )
+
+
+@query
+def op10_quality_rules(spark, sf):
+    rows = quality.quality(table(spark, sf, "documents"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return rows.select("doc_id", *counts, "base_failed", "kept")
