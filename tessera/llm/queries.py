@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import packing, pieces, quality, token_files
+from tessera.llm import minhash, packing, pieces, quality, substrings, token_files
 from tessera.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,11 @@ def op3_token_files(spark, sf):
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op7_minhash_near_dedup(spark, sf):
+    return minhash.near_duplicates(table(spark, sf, "documents"), length=4, percent=80)
+
+
 @query
 def op8_best_fit_packing(spark, sf):
     docs = table(spark, sf, "documents")
@@ -57,6 +62,14 @@ def op8_best_fit_packing(spark, sf):
     )
 
 
+@query
+def op9_substring_dedup(spark, sf):
+    rows = substrings.without_repeats(table(spark, sf, "documents"), words=35)
+    return rows.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256")
+    )
+
+
 @query
 def op10_quality_rules(spark, sf):
     rows = quality.quality(table(spark, sf, "documents"))
