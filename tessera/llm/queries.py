@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import minhash, packing, pieces, quality, substrings, token_files
+from tessera.llm import minhash, packing, pieces, pii, quality, substrings, token_files
 from tessera.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,13 @@ def op3_token_files(spark, sf):
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op5_personal_data(spark, sf):
+    rows = pii.personal_data(table(spark, sf, "documents"))
+    base = F.sha2(F.encode("base", "UTF-8"), 256).alias("base_sha256")
+    return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", base, "spans")
+
+
 @query
 def op7_minhash_near_dedup(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents"), length=4, percent=80)
