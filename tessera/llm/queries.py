@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import minhash, packing, pieces, pii, quality, substrings, token_files
+from tessera.llm import chat, minhash, packing, pieces, pii, quality, substrings, token_files
 from tessera.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,7 @@ QUERIES: dict[str, Query] = {}
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
+BYTE_BPE = "byte_bpe_50k.json"
 
 
 def query(build: Query) -> Query:
@@ -29,6 +30,28 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_chat_formatting(spark, sf):
+    spoken = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    words = F.lit("</s>[INST] ok [/INST]")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        words.alias("text"),
+    )
+    chats = chat.formatted(spoken.unionByName(extra), public_tokenizers.path(BYTE_BPE))
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return chat.read_back(chats).select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.encode(F.array_join(said, ""), "UTF-8"), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2(F.encode("loss_text", "UTF-8"), 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 @query
 def op2_piece_encoding(spark, sf):
     rows = pieces.encoded_and_decoded(table(spark, sf, "documents"), public_tokenizers.path(PIECE_BPE))
