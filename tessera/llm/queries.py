@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, minhash, packing, pieces, pii, quality, substrings, token_files
+from tessera.llm import chat, kdtree, minhash, packing, pieces, pii, quality, substrings, token_files, toxicity
 from tessera.llm.common import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,12 @@ def op3_token_files(spark, sf):
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op4_exact_top_k(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    return kdtree.top_k(vectors, "embedding", F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
 @query
 def op5_personal_data(spark, sf):
     rows = pii.personal_data(table(spark, sf, "documents"))
@@ -78,6 +84,11 @@ def op5_personal_data(spark, sf):
     return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", base, "spans")
 
 
+@query
+def op6_toxicity(spark, sf):
+    return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"), threshold=0.3)
+
+
 @query
 def op7_minhash_near_dedup(spark, sf):
     return minhash.near_duplicates(table(spark, sf, "documents"), length=4, percent=80)
