@@ -30,6 +30,8 @@ SAMPLE = 3_000
 VOTERS, LEAST_EVIDENCE = 400, 30.0
 BEGINNINGS = (4, 5, 6)
 ROUNDS = 30
+#: How often a given label is taken to be right; the other voters' accuracies are estimated.
+RIGHT = 0.98
 DEPENDENT = 0.3
 PATTERNS = ("shouting", "exclaiming", "no finding", "two findings")
 _EDGES = b".,;:!?\"'()[]{}#*$%&|<>-_"
@@ -126,6 +128,7 @@ def _label_model(votes: np.ndarray, labels: np.ndarray, prior: float) -> np.ndar
             is_value = say == value
             yes = (is_value.T @ share + (2.0 if value == 1 else 1.0)) / (share.sum() + 4)
             no = (is_value.T @ (1 - share) + (2.0 if value == -1 else 1.0)) / ((1 - share).sum() + 4)
+            yes[-1], no[-1] = {1: (RIGHT, 1 - RIGHT), 0: (1.0, 1.0), -1: (1 - RIGHT, RIGHT)}[value]
             rates.append((yes, no))
             odds += is_value @ (weight * np.log(yes / no))
         share = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
