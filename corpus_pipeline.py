@@ -1,30 +1,72 @@
-"""A corpus cleaned and packed: the stages, each over all that the one before kept."""
+"""A corpus cleaned and packed: the stages, each over all that the one before kept.
+
+Every stage takes and returns the columns of ``documents``; the last one returns pieces of token sequences. Stages are
+written in between, so a lost executor costs the stage it was in.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import packing
+from tessera.llm import minhash, packing, pii, quality, substrings
 from tessera.llm.common import importable, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _documents(rows: DataFrame) -> DataFrame:
+    """The columns of documents, counting the characters anew."""
+    return rows.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that neither the rules nor the estimates of their language and source reject."""
+    importable(spark)
+    return quality.good_documents(docs.select(*COLUMNS))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: similarity of 0.8 or more on shingles of five words."""
+    importable(spark)
+    groups = minhash.near_duplicates(docs, length=5, percent=80)
+    kept = groups.filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    rows = docs.select(*COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return rows.dropDuplicates()  # repeated rows share an id
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages of 35 words or more that occur more than once."""
+    importable(spark)
+    return _documents(substrings.without_repeats(docs.select(*COLUMNS), words=35, layout=True))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with personal data replaced by the names of its kinds."""
+    return _documents(pii.masked(docs.select(*COLUMNS)))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of at most 2048, a row per piece of a document."""
+    importable(spark)
     return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=0, capacity=2048)
 
 
-STAGES = [("best-fit packing", pack)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("MinHash near-dedup", near_dedup),
+    ("substring dedup", substring_dedup),
+    ("PII", mask_personal_data),
+    ("best-fit packing", pack),
+]
 
-#: Regular expressions over code points, components and tokenizers: SQL can't express the stages.
+#: Components, estimates and tokenizers: SQL can't express the stages; tests hold them against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each written before the next one reads it."""
-    importable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))

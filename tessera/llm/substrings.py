@@ -77,12 +77,12 @@ def _key() -> tuple[Column, Column]:
     return F.xxhash64("text").alias("k1"), F.xxhash64(F.lit("other"), "text").alias("k2")
 
 
-def without_repeats(docs: DataFrame, words: int = 35) -> DataFrame:
+def without_repeats(docs: DataFrame, words: int = 35, layout: bool = False) -> DataFrame:
     """Each row's columns, with the repeated words taken out of ``text``; n_words and n_removed tell how many.
 
     A word goes if a stretch of ``words`` words that covers it also starts anywhere else, in this text or
-    another; all such stretches go, the first one too. Kept words are joined by one blank. Null texts have no words and become
-    empty; so do texts of which nothing is left: their rows stay. Repeated rows, and texts that are copies of
+    another; all such stretches go, the first one too. Kept words are joined by one blank; with ``layout``, texts that
+    lose nothing stay as they are. Null texts have no words and become empty; so do texts of which nothing is left: their rows stay. Repeated rows, and texts that are copies of
     another, repeat each other. Other columns may have any name but n_words and n_removed, which are
     replaced. No documents give no rows.
     """
@@ -103,10 +103,10 @@ def without_repeats(docs: DataFrame, words: int = 35) -> DataFrame:
     flat = written(flat, "stretches")
     repeated = flat.groupBy("hash").agg(F.sum("copies").alias("n")).filter("n > 1").select("hash")
     found = flat.join(repeated, "hash").groupBy("k1", "k2").agg(F.collect_list("start").alias("starts"))
-    return _cut(keyed.join(found, ["k1", "k2"], "left"), names, words)
+    return _cut(keyed.join(found, ["k1", "k2"], "left"), names, words, layout)
 
 
-def _cut(rows: DataFrame, names: list[str], length: int) -> DataFrame:
+def _cut(rows: DataFrame, names: list[str], length: int, layout: bool) -> DataFrame:
     """Take out the words that the stretches cover."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +122,7 @@ def _cut(rows: DataFrame, names: list[str], length: int) -> DataFrame:
                     np.add.at(edges, at + length, -1)
                     covered = np.cumsum(edges)[:-1] > 0
                     kept = [w for w, c in zip(words, covered.tolist(), strict=True) if not c]
-                texts.append(b" ".join(kept))
+                texts.append(text if layout and len(kept) == len(words) else b" ".join(kept))
                 totals.append(len(words))
                 removed.append(len(words) - len(kept))
             columns = [pa.array(texts, pa.binary()).cast(pa.string()), pa.array(totals, pa.int64()), pa.array(removed, pa.int64())]
