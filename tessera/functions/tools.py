@@ -16,9 +16,10 @@ def tools_from_json(c: str) -> Column:
 
 
 def normalise_tools(c: str) -> Column:
-    """Trim the elements; an empty list, or one holding a null, is null as a whole."""
+    """Trim the elements; a list that is empty, holds a null or only one blank is null as a whole."""
     tools = F.col(c)
-    missing = (F.size(tools) == 0) | F.exists(tools, lambda tool: tool.isNull())
+    blank = (F.size(tools) == 1) & F.exists(tools, lambda tool: clean(tool) == "")
+    missing = (F.size(tools) == 0) | F.exists(tools, lambda tool: tool.isNull()) | blank
     return F.when(~missing, F.transform(tools, clean))
 
 

@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 from tessera import config
 from tessera import functions as fn
 from tessera.operators.objects import OBJECT_KEY, Facts, matching, people_rows, span_names
-from tessera.operators.skew import hot_keys, keys_above
-from tessera.session import ensure_checkpoint_dir
 
 REQUIRED = config.OBJECT.required()
 ROW_ORDER = ["p_name", "source", "p_identifier"]
@@ -175,27 +173,22 @@ def facts_of_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def nest_authors(flat: DataFrame, list_rows: int = 100_000) -> DataFrame:
-    """One row per object with ``authors``, an array of ``(id, name)`` in order of name.
+    """One row per object and ``part`` with ``authors``, an array of ``(id, name)`` in order of name.
 
-    The list of an object with more than ``list_rows`` authors is continued over several rows,
-    numbered by ``part``, each in order of name; all other objects have the single part 0. Runs
-    one counting job to find such objects.
+    A part holds ``list_rows`` authors, the last one of an object the rest: read in order of
+    ``part``, the lists are the whole list. An object without authors has one empty part.
     """
     columns = list(config.OBJECT_COLUMNS)
+    by_name = [F.col(c).asc_nulls_last() for c in reversed(config.AUTHOR_COLUMNS)]
+    # Counting along a sorted stretch needs no more memory for a long one.
+    place = F.row_number().over(Window.partitionBy("identifier").orderBy(*by_name))
+    placed = flat.withColumn("part", F.floor((place - 1) / list_rows).cast("int"))
     author = F.struct(F.col("p_name").alias("name"), F.col("p_identifier").alias("id"))
     listed = F.array_sort(F.collect_list(F.when(F.col("p_identifier").isNotNull(), author)))
     authors = F.transform(listed, lambda a: F.struct(a["id"].alias("id"), a["name"].alias("name")))
     firsts = [F.first(c).alias(c) for c in config.OBJECT_VALUES]
-    long = keys_above(flat, "identifier", list_rows)
-    if long is None:
-        nested = flat.groupBy("identifier").agg(*firsts, authors.alias("authors"))
-        return nested.select(*columns, "authors", F.lit(0).alias("part"))
-    parts = F.coalesce(F.ceil(F.col("rows") / list_rows), F.lit(1))
-    salted = flat.join(long, "identifier", "left").withColumn(
-        "part", F.pmod(F.xxhash64("p_identifier"), parts).cast("int")
-    )
-    # An exchange of its own: otherwise the grouping would reuse a layout by identifier alone.
-    spread = salted.repartition("identifier", "part")
+    # An exchange of its own: otherwise the grouping would reuse the layout by identifier alone.
+    spread = placed.repartition("identifier", "part")
     nested = spread.groupBy("identifier", "part").agg(*firsts, authors.alias("authors"))
     return nested.select(*columns, "authors", "part")
 
@@ -279,52 +272,36 @@ def order_people(people: DataFrame) -> DataFrame:
 
 
 def backfill(
-    rows: DataFrame,
-    key: str,
-    order: list[str],
-    columns: list[str],
-    hot_rows: int = 1_000_000,
+    rows: DataFrame, key: str, order: list[str], columns: list[str], letters: int = 2
 ) -> DataFrame:
     """Fill nulls from the nearest later row of the same key, later meaning ``order``, nulls last.
 
-    Keys with more than ``hot_rows`` rows are cut into ranges of the order, filled range by range
-    and then across ranges. Runs one counting job to find such keys; where there are any, their
-    ranged rows are checkpointed, since the number of a range must not change between its uses.
+    The first column of ``order`` is text. Each key is cut into stretches that share its first
+    ``letters`` letters, which stand next to each other in the order. Rows are filled within their
+    stretch, and then from what the stretches after it offer, of which a key has one row each. So the rows of
+    one key spread over tasks, whatever their number.
     """
-    hot = hot_keys(rows, key, hot_rows)
-    if hot is None:
-        return _fill(rows, [key], order, columns)
-    hot = F.broadcast(hot.select(key))
-    cold = _fill(rows.join(hot, key, "left_anti"), [key], order, columns)
-
-    ensure_checkpoint_dir(rows.sparkSession)
-    ascending = [F.col(c).asc_nulls_last() for c in order]
-    ranged = (
-        rows.join(hot, key, "left_semi")
-        .repartitionByRange(key, *ascending)
-        .withColumn("_range", F.spark_partition_id())
-        .checkpoint()
-    )
-    within = _fill(ranged, [key, "_range"], order, columns)
-    later = Window.partitionBy(key).orderBy(F.col("_range").desc())
-    before_this = later.rowsBetween(Window.unboundedPreceding, -1)
-    # One row per key and range: what a range has to offer to the ranges before it.
+    stretch = F.struct(F.col(order[0]).isNull().alias("none"), F.substring(order[0], 1, letters).alias("start"))
+    spread = rows.withColumn("_stretch", stretch)
+    within = _fill(spread, [key, "_stretch"], order, columns)
     place = F.struct(*[p for c in order for p in (F.col(c).isNull(), F.col(c))])
-    offers = ranged.groupBy(key, "_range").agg(
+    offers = spread.groupBy(key, "_stretch").agg(
         *[F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in columns]
     )
+    later = Window.partitionBy(key).orderBy(F.col("_stretch").desc())
+    before_this = later.rowsBetween(Window.unboundedPreceding, -1)
     carried = offers.select(
-        key,
-        "_range",
+        F.col(key).alias("_key"),
+        F.col("_stretch").alias("_of"),
         *[F.last(c, ignorenulls=True).over(before_this).alias(f"_next_{c}") for c in columns],
     )
-    across = within.join(carried, [key, "_range"], "left").select(
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_stretch").eqNullSafe(F.col("_of"))
+    return within.join(carried, same, "left").select(
         *[
             F.coalesce(c, f"_next_{c}").alias(c) if c in columns else F.col(c)
             for c in rows.columns
         ]
     )
-    return cold.unionByName(across)
 
 
 def _fill(rows: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:

@@ -72,6 +72,21 @@ class Facts:
         )
 
 
+def new_facts(found: Facts, held: Facts) -> Facts:
+    """Those of the facts found that are not held yet; nulls count as equal."""
+
+    def missing(rows: DataFrame, known: DataFrame) -> DataFrame:
+        rows, known = rows.alias("new"), known.alias("known")
+        same = [F.col(f"new.{c}").eqNullSafe(F.col(f"known.{c}")) for c in rows.columns]
+        return rows.join(known, same, "left_anti")
+
+    return Facts(
+        missing(found.records, held.records),
+        missing(found.authored, held.authored),
+        missing(found.person, held.person),
+    )
+
+
 def span_names(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(
         F.min("p_name").alias("first_name"),
@@ -251,19 +266,41 @@ def people_behind(facts: Facts, objects) -> DataFrame:
     return people_rows(Facts(facts.records, facts.authored, facts.person.join(found, PERSON_KEY, "left_semi")))
 
 
-def related_by(facts: Facts, path: tuple[str, ...] | str, values) -> DataFrame:
-    """Resolve a relation path to the matching entities as ``(source, identifier)``.
+def _with_attribute(facts: Facts, name: str, values) -> DataFrame:
+    """``(source, identifier)`` of the objects with a value of an attribute."""
+    return matching(name, values)(facts.records).select(*OBJECT_KEY).distinct()
+
+
+def _people_with(facts: Facts, name: str, values) -> DataFrame:
+    """``(source, p_identifier)`` of the people with a value of an attribute."""
+    return matching(f"p_{name}", values)(facts.person).select(*PERSON_KEY).distinct()
+
+
+def related_by(facts: Facts, path: tuple[str, ...] | str, values, entity: str = config.OBJECT.name) -> DataFrame:
+    """Resolve a path to the entities it leads to, as distinct ``(source, identifier)``.
 
-    ``('hasAuthor', 'identifier')`` goes from people to objects, ``('CHO', 'hasAuthor',
-    'identifier')`` from objects to people, and a bare name compares that attribute of objects.
+    A bare name compares that attribute of the entity itself. Objects are reached over an attribute of their
+    authors, ``('hasAuthor', name)``; people over one of the objects that they made, ``('CHO',
+    'hasAuthor', name)``. Values are looked for within each source. Unknown paths raise.
     """
-    if path == ("hasAuthor", "identifier"):
-        return authored_by(facts, values)
-    if path == ("CHO", "hasAuthor", "identifier"):
-        return authors_of(facts, values).select(*OBJECT_KEY).distinct()
-    if path in config.OBJECT_COLUMNS:
-        return matching(path, values)(facts.records).select(*OBJECT_KEY).distinct()
-    raise ValueError(f"no such path: {path!r}")
+    people = entity == config.PERSON.name
+    attributes = config.PERSON.names() if people else config.OBJECT_COLUMNS
+    if isinstance(path, str) and path in attributes:
+        if people:
+            return _people_with(facts, path, values).withColumnRenamed("p_identifier", "identifier")
+        return _with_attribute(facts, path, values)
+    if not people and len(path) == 2 and path[0] == "hasAuthor" and path[1] in config.PERSON.names():
+        if path[1] == "identifier":
+            return authored_by(facts, values)
+        makers = _people_with(facts, path[1], values)
+        return facts.authored.join(makers, PERSON_KEY, "left_semi").select(*OBJECT_KEY).distinct()
+    if people and len(path) == 3 and path[:2] == (config.OBJECT.name, "hasAuthor"):
+        if path[2] in config.OBJECT_COLUMNS:
+            made = matching("identifier", values)(facts.authored) if path[2] == "identifier" else facts.authored.join(
+                _with_attribute(facts, path[2], values), OBJECT_KEY, "left_semi"
+            )
+            return made.select("source", F.col("p_identifier").alias("identifier")).distinct()
+    raise ValueError(f"no such path to {entity}: {path!r}")
 
 
 def select_only(facts: Facts, column: str) -> DataFrame:

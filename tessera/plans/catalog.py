@@ -17,7 +17,7 @@ from tessera.operators import integrate as joint
 from tessera.operators import objects as obj
 from tessera.operators.objects import Facts
 from tessera.plans import samples
-from tessera.plans.mashup import Mashup
+from tessera.plans.mashup import Mashup, union_facts
 from tessera.sources.activity_json import activities_from_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,10 +69,20 @@ def a3_flatten_activities(spark, sf):
 
 @query
 def a4_metadata_push_set(spark, sf):
-    """Pushing the same rows again, and with them others, adds only what is new."""
-    facts = samples.facts(spark, sf)
-    again = facts_of_customers(spark, sf)
-    return facts.union(again).distinct().records
+    """Pushing rows of which some are held already adds only what is new."""
+    held = facts_of_customers(spark, sf)
+    return _fact_rows(held.union(obj.new_facts(samples.facts(spark, sf), held)))
+
+
+def _fact_rows(facts: Facts) -> DataFrame:
+    """The three tables as one."""
+    columns = ["source", *config.OBJECT_COLUMNS, *config.AUTHOR_COLUMNS]
+    tables = {"record": facts.records, "authored": facts.authored, "person": facts.person}
+    parts = []
+    for kind, rows in tables.items():
+        filled = [F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns]
+        parts.append(rows.select(F.lit(kind).alias("kind"), *filled))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def facts_of_customers(spark: SparkSession, sf: str) -> Facts:
@@ -97,8 +107,7 @@ def a10_triples(spark, sf):
 @query
 def b1_trim(spark, sf):
     raw = samples.raw_objects(spark, sf)
-    columns = [c for c in config.OBJECT.names() if c != "hasAuthor"]
-    return raw.select("source", *[fn.clean(c).alias(c) for c in columns]).distinct()
+    return raw.select("source", *[fn.clean(c).alias(c) for c in config.OBJECT.names()]).distinct()
 
 
 @query
@@ -154,8 +163,15 @@ def b8_strip_namespace(spark, sf):
 @query
 def b9_rename_fields(spark, sf):
     wide = samples.wide_activities(spark, sf)
-    fields = wide.filter(F.col("processing").isNotNull()).select("`object id`", "processing.*")
-    return _bag(_text(act.rename_fields(fields).withColumnRenamed("object id", "refersTo")))
+    parts = []
+    for kind in [c for c in wide.columns if c not in ("source", "object id")]:
+        fields = wide.filter(F.col(kind).isNotNull()).select("`object id`", f"{kind}.*")
+        renamed = act.rename_fields(fields).withColumnRenamed("object id", "refersTo")
+        parts.append(renamed.withColumn("kind", F.lit(kind)))
+    united = parts[0]
+    for part in parts[1:]:
+        united = united.unionByName(part, allowMissingColumns=True)
+    return _bag(_text(united))
 
 
 @query
@@ -176,13 +192,19 @@ def b11_valid_activities(spark, sf):
 
 @query
 def b12_key_case(spark, sf):
-    """Documents whose keys are in upper case read like those in lower case."""
+    """Documents whose keys, those of fields too, are in upper case read like those in lower case."""
     wide = samples.wide_activities(spark, sf)
-    kinds = [c for c in wide.columns if c != "source"]
-    shouted = F.struct(*[F.col(f"`{c}`").alias(c.upper()) for c in kinds])
-    documents = wide.select(F.from_json(F.to_json(shouted), "map<string,string>").alias("document"))
-    rows = activities_from_documents(documents)
-    return rows.groupBy("class", "institute").agg(F.count(F.lit(1)).alias("copies"))
+    cells = []
+    for field in wide.schema.fields:
+        value = F.col(f"`{field.name}`")
+        if field.name == "source":
+            continue
+        if field.name != "object id":
+            inner = [value[n].alias(n.upper()) for n in field.dataType.names]
+            value = F.when(value.isNotNull(), F.struct(*inner))
+        cells.append(value.alias(field.name.upper()))
+    documents = wide.select(F.from_json(F.to_json(F.struct(*cells)), "map<string,string>").alias("document"))
+    return _text(_bag(activities_from_documents(documents)))
 
 
 @query
@@ -260,15 +282,22 @@ def c8_acquired_between(spark, sf):
 def c9_relation_paths(spark, sf):
     facts = samples.facts(spark, sf)
     paths = {
-        "forward": (("hasAuthor", "identifier"), ["S:7", "M:Brand#3"]),
-        "inverse": (("CHO", "hasAuthor", "identifier"), ["7", "C8"]),
-        "plain": ("owner", "Brand#12"),
+        "by author": ("CHO", ("hasAuthor", "identifier"), ["S:7", "M:Brand#3"]),
+        "by author name": ("CHO", ("hasAuthor", "name"), ["Supplier#00000007", "Maker, SMALL"]),
+        "by owner": ("CHO", "owner", "Brand#12"),
+        "of object": ("Person", ("CHO", "hasAuthor", "identifier"), ["7", "C8"]),
+        "of owner": ("Person", ("CHO", "hasAuthor", "owner"), "Brand#12"),
+        "of class": ("Person", ("CHO", "hasAuthor", "class"), ["Model", "Herbarium"]),
+        "by name": ("Person", "name", "Maker, SMALL"),
     }
     found = [
-        obj.related_by(facts, path, value).withColumn("path", F.lit(name))
-        for name, (path, value) in paths.items()
+        obj.related_by(facts, path, value, entity).withColumn("path", F.lit(name))
+        for name, (entity, path, value) in paths.items()
     ]
-    return found[0].unionByName(found[1]).unionByName(found[2])
+    united = found[0]
+    for rows in found[1:]:
+        united = united.unionByName(rows)
+    return united
 
 
 # -- joins ----------------------------------------------------------------------------------------
@@ -441,13 +470,17 @@ def g4_first_entity(spark, sf):
 
 @query
 def h1_union_sources(spark, sf):
-    return _bag(obj.people_rows(samples.facts(spark, sf)).select("identifier", "name"))
+    """People of sources that are read apart."""
+    facts = samples.facts(spark, sf)
+    tables = (facts.records, facts.authored, facts.person)
+    apart = [Facts(*[t.filter(F.col("source") == i) for t in tables]) for i in (1, 2, 3)]
+    return _bag(obj.people_rows(union_facts(apart)).select("identifier", "name"))
 
 
 @query
 def h2_union_facts(spark, sf):
     facts = samples.facts(spark, sf)
-    return facts.union(facts).distinct().authored
+    return _fact_rows(facts.union(facts).distinct())
 
 
 @query
@@ -530,3 +563,10 @@ def m10_ended_before(spark, sf):
 @query
 def m11_by_technique(spark, sf):
     return _text(_mashup(spark, sf).getAcquisitionsByTechnique("photo"))
+
+
+@query
+def m12_objects_of_activities(spark, sf):
+    """What the objects of activities hold, authors and all, an object once."""
+    mashup = _mashup(spark, sf)
+    return mashup.objectsOf(act.by_institution(mashup.activities(), "mach"))

@@ -28,6 +28,19 @@ log = logging.getLogger(__name__)
 _BAD_INPUT = ("PATH_NOT_FOUND", "MALFORMED_RECORD_IN_PARSING")
 
 
+def _is_bad_input(error: Exception) -> bool:
+    """Whether the error, or one that it was caused by, names the input as its reason."""
+    if isinstance(error, PySparkException) and error.getCondition() in _BAD_INPUT:
+        return True
+    cause = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    while cause is not None:
+        # The scheduler passes on a task's error as text, which starts with the condition in brackets.
+        if any(f"[{name}" in (cause.getMessage() or "") for name in _BAD_INPUT):
+            return True
+        cause = cause.getCause()
+    return False
+
+
 class Handler:
     def __init__(self):
         self._path = ""
@@ -61,19 +74,20 @@ class UploadHandler(Handler):
         self._store().reset()
         return True
 
-    def _push(self, store, path) -> None:
+    def _push(self, store, path, **options) -> None:
         raise NotImplementedError
 
-    def pushDataToDb(self, path) -> bool:
+    def pushDataToDb(self, path, **options) -> bool:
+        """Push a file, several or a folder; ``options`` are those of the store's reader."""
         if not self._path:
             log.warning("no store is set")
             return False
         try:
-            self._push(self._store(), path)
+            self._push(self._store(), path, **options)
         except (PySparkException, Py4JJavaError) as error:
-            if not any(name in str(error) for name in _BAD_INPUT):
+            if not _is_bad_input(error):
                 raise
-            log.warning("nothing pushed from %s: %s", path, error)
+            log.warning("nothing pushed from %s: %s", path, str(error).split("\n", 1)[0])
             return False
         return True
 
@@ -81,15 +95,18 @@ class UploadHandler(Handler):
 class MetadataUploadHandler(UploadHandler):
     store_type = ObjectStore
 
-    def _push(self, store: ObjectStore, path) -> None:
-        store.push_csv(path)
+    def _push(self, store: ObjectStore, path, multiline: bool = True) -> None:
+        store.push_csv(path, multiline)
 
 
 class ProcessDataUploadHandler(UploadHandler):
     store_type = ProcessStore
 
-    def _push(self, store: ProcessStore, path) -> None:
-        lines = isinstance(path, str) and path.endswith((".jsonl", ".ndjson"))
+    def _push(self, store: ProcessStore, path, lines: bool | None = None) -> None:
+        """``lines``: a document per line; if not given, the names of the files say so."""
+        if lines is None:
+            paths = [path] if isinstance(path, str) else list(path)
+            lines = all(p.endswith((".jsonl", ".ndjson")) for p in paths)
         store.push_json(path, lines=lines)
 
 
@@ -107,8 +124,12 @@ class MetadataQueryHandler(QueryHandler):
         return Facts(*[table.withColumn("source", F.lit(source)) for table in tables])
 
     def getEntities(self, entityName="CHO", select_only=None, by=None, value=None) -> DataFrame:
-        """Objects or people, all or those that a relation path or attribute leads to."""
+        """Objects or people, all or those that a relation path or attribute leads to.
+
+        Without a value the path filters nothing; an empty list of values leaves nothing.
+        """
         facts = self.facts()
+        by = by if value is not None else None
         if entityName == config.OBJECT.name:
             if by == "identifier" and not isinstance(value, DataFrame):
                 facts = facts.where(F.col(by).isin(obj.as_list(value)))
@@ -119,12 +140,13 @@ class MetadataQueryHandler(QueryHandler):
             return joint.order_objects(obj.object_rows(facts)).drop("source")
         if entityName != config.PERSON.name:
             raise ValueError(f"no such entity: {entityName!r}")
-        if by is None:
-            people = obj.people_rows(facts)
-        elif isinstance(by, tuple):
+        people = obj.people_rows(facts)
+        if by == ("CHO", "hasAuthor", "identifier"):
             people = obj.authors_of(facts, value)
-        else:
-            people = obj.matching(by, value)(obj.people_rows(facts))
+        elif isinstance(by, tuple):
+            people = people.join(obj.related_by(facts, by, value, entityName), obj.OBJECT_KEY, "left_semi")
+        elif by is not None:
+            people = obj.matching(by, value)(people)
         if select_only:
             return people.select(select_only)
         return joint.order_people(people).drop("source")

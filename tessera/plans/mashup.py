@@ -74,9 +74,17 @@ class Mashup:
         return self._objects(joint.join_authors(resolved, joint.resolve_authors(spans)))
 
     def toActivity(self, found: DataFrame) -> DataFrame:
-        """Activities with their objects, looking up only the objects they refer to."""
-        ids = found.select(F.col("refersTo").alias("identifier")).distinct()
-        return self._with_objects(found, joint.object_entities(self.facts(), ids))
+        """Activities with their objects; the join leaves only the objects they refer to."""
+        return self._with_objects(found, joint.object_entities(self.facts()))
+
+    def objectsOf(self, activities: DataFrame) -> DataFrame:
+        """The objects of activities once each, flat and with all their authors.
+
+        This is what an activity's object holds besides its own attributes; as a result of its own
+        it is as large as the objects, not as activities times authors.
+        """
+        ids = activities.select(F.col("refersTo").alias("identifier")).distinct()
+        return self._objects(joint.to_objects(self.facts(), ids))
 
     @staticmethod
     def nest(objects: DataFrame) -> DataFrame:

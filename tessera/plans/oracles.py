@@ -65,7 +65,7 @@ raw_customers AS (
     END AS place
   FROM orders JOIN customer ON o_custkey = c_custkey
 ),
-raw AS (SELECT * FROM raw_parts UNION ALL SELECT * FROM raw_customers)
+raw AS MATERIALIZED (SELECT * FROM raw_parts UNION ALL SELECT * FROM raw_customers)
 """
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(13)"
@@ -82,12 +82,14 @@ def _blank(c: str) -> str:
 # Capitalise word by word and join; what is not a class afterwards is null.
 _CLASS = f"""array_to_string(list_transform(
       string_split_regex({_clean('class')}, '\\s+'), lambda w: upper(w[1]) || lower(w[2:])), '')"""
+# Fixed values.
 _CLASSES = """('NauticalChart', 'ManuscriptPlate', 'ManuscriptVolume', 'PrintedVolume',
     'PrintedMaterial', 'Herbarium', 'Specimen', 'Painting', 'Model', 'Map')"""
+# Fixed value.
 _AUTHOR = "'^(.*?)\\s*?\\(\\s*(.+?)\\s*\\)\\s*$'"
 
 _CLEANED = f"""{_RAW_OBJECTS},
-cleaned AS (
+cleaned AS MATERIALIZED (
   SELECT * FROM (
     SELECT source, {_blank('identifier')} AS identifier,
       CASE WHEN {_CLASS} IN {_CLASSES} THEN {_CLASS} END AS class,
@@ -108,10 +110,10 @@ authors AS (
 """
 
 _FACTS = f"""{_CLEANED},
-records AS (SELECT DISTINCT source, identifier, class, title, owner, place, date FROM cleaned),
-authored AS (SELECT DISTINCT source, identifier, p_identifier FROM authors),
-person AS (SELECT DISTINCT source, p_identifier, p_name FROM authors),
-links AS (
+records AS MATERIALIZED (SELECT DISTINCT source, identifier, class, title, owner, place, date FROM cleaned),
+authored AS MATERIALIZED (SELECT DISTINCT source, identifier, p_identifier FROM authors),
+person AS MATERIALIZED (SELECT DISTINCT source, p_identifier, p_name FROM authors),
+links AS MATERIALIZED (
   SELECT a.source, a.identifier, a.p_identifier, p.p_name
   FROM authored a LEFT JOIN person p ON a.source = p.source AND a.p_identifier = p.p_identifier
 )
@@ -333,12 +335,17 @@ def _iri(entity: str, c: str) -> str:
 _EVERYBODY = "SELECT source, p_identifier AS identifier, p_name AS name FROM person"
 _MATCHING_TOOLS = f"list_filter(a.tool, lambda t: {_like('t', 'blend')})"
 
+_FACT_ROWS = """
+  SELECT 'record' AS kind, *, NULL AS p_identifier, NULL AS p_name FROM records
+  UNION ALL SELECT 'authored', source, identifier, NULL, NULL, NULL, NULL, NULL, p_identifier, NULL FROM authored
+  UNION ALL SELECT 'person', source, NULL, NULL, NULL, NULL, NULL, NULL, p_identifier, p_name FROM person"""
+
 ORACLES: dict[str, str] = {
     "a2_activity_documents": f"WITH {_EVENTS} "
     + _bag(f"{_FIELDS}, {_joined()} AS tool", "raw_activity"),
     "a3_flatten_activities": f"WITH {_EVENTS} "
     + _bag(f"source, {_FIELDS}, {_joined()} AS tool", "raw_activity"),
-    "a4_metadata_push_set": f"WITH {_FACTS} SELECT * FROM records",
+    "a4_metadata_push_set": f"WITH {_FACTS} {_FACT_ROWS}",
     "a5_process_push_bag": f"WITH {_ACTIVITIES} "
     + _bag(
         f"source, {_FIELDS}, {_joined()} AS tool",
@@ -367,7 +374,7 @@ ORACLES: dict[str, str] = {
     "b1_trim": f"""WITH {_RAW_OBJECTS}
       SELECT DISTINCT source, {_clean('identifier')} AS identifier, {_clean('class')} AS class,
         {_clean('title')} AS title, {_clean('date')} AS date, {_clean('owner')} AS owner,
-        {_clean('place')} AS place FROM raw""",
+        {_clean('place')} AS place, {_clean('hasAuthor')} AS hasAuthor FROM raw""",
     "b2_blank_to_null": f"WITH {_EVENTS} "
     + _bag(
         ", ".join(f"{_blank(c.strip())} AS {c.strip()}" for c in _FIELDS.split(",")),
@@ -386,8 +393,8 @@ ORACLES: dict[str, str] = {
       SELECT DISTINCT identifier, 'loc:' || class AS stored, class FROM records""",
     "b9_rename_fields": f"WITH {_EVENTS} "
     + _bag(
-        f'refersTo, technique, institute, person, {_joined()} AS tool, "start", "end"',
-        "raw_activity WHERE class = 'Processing'",
+        f'lower(class) AS kind, refersTo, technique, institute, person, {_joined()} AS tool, "start", "end"',
+        "raw_activity",
     ),
     "b10_tools": f"WITH {_EVENTS} "
     + _bag(
@@ -398,7 +405,8 @@ ORACLES: dict[str, str] = {
     ),
     "b11_valid_activities": f"WITH {_ACTIVITIES} "
     + _bag(f"source, {_FIELDS}, {_joined()} AS tool", "activity"),
-    "b12_key_case": f"WITH {_EVENTS} " + _bag("class, institute", "raw_activity"),
+    "b12_key_case": f"WITH {_EVENTS} "
+    + _bag(f"{_FIELDS}, {_joined()} AS tool", "raw_activity"),
     "b13_select_only": f"WITH {_FACTS} "
     + _bag(
         "title",
@@ -434,12 +442,21 @@ ORACLES: dict[str, str] = {
         AND "end" <= '2024-01-20'""",
     ),
     "c9_relation_paths": f"""WITH {_FACTS}
-      SELECT DISTINCT source, identifier, 'forward' AS path FROM authored
+      SELECT DISTINCT source, identifier, 'by author' AS path FROM authored
         WHERE p_identifier IN ('S:7', 'M:Brand#3')
-      UNION ALL SELECT DISTINCT source, p_identifier, 'inverse' FROM authored
+      UNION ALL SELECT DISTINCT source, identifier, 'by author name' FROM links
+        WHERE p_name IN ('Supplier#00000007', 'Maker, SMALL')
+      UNION ALL SELECT DISTINCT source, identifier, 'by owner' FROM records
+        WHERE owner = 'Brand#12'
+      UNION ALL SELECT DISTINCT source, p_identifier, 'of object' FROM authored
         WHERE identifier IN ('7', 'C8')
-      UNION ALL SELECT DISTINCT source, identifier, 'plain' FROM records
-        WHERE owner = 'Brand#12'""",
+      UNION ALL SELECT DISTINCT source, p_identifier, 'of owner' FROM authored
+        WHERE (source, identifier) IN (SELECT (source, identifier) FROM records WHERE owner = 'Brand#12')
+      UNION ALL SELECT DISTINCT source, p_identifier, 'of class' FROM authored
+        WHERE (source, identifier) IN
+          (SELECT (source, identifier) FROM records WHERE class IN ('Model', 'Herbarium'))
+      UNION ALL SELECT DISTINCT source, p_identifier, 'by name' FROM person
+        WHERE p_name = 'Maker, SMALL'""",
     "d1_subclasses": f"WITH {_FACTS} SELECT DISTINCT source, identifier, class FROM records"
     f" WHERE class IN {_CLASSES}",
     "d2_object_values": f"WITH {_ROWS} SELECT * FROM object_values",
@@ -515,7 +532,7 @@ ORACLES: dict[str, str] = {
     + _people(_authors_of("l.identifier IN ('7', '12')"))
     + " ORDER BY name, identifier LIMIT 1",
     "h1_union_sources": f"WITH {_FACTS} " + _bag("identifier, name", f"({_EVERYBODY})"),
-    "h2_union_facts": f"WITH {_FACTS} SELECT * FROM authored UNION SELECT * FROM authored",
+    "h2_union_facts": f"WITH {_FACTS} {_FACT_ROWS}",
     "h3_union_ids": f"""WITH {_FACTS}, {_ACTIVITIES}
       SELECT identifier FROM authored UNION SELECT refersTo FROM activity""",
     "l1_people": f"WITH {_FACTS} " + _people(_EVERYBODY),
@@ -536,5 +553,6 @@ ORACLES: dict[str, str] = {
     "m8_using_tool": _described(f"len({_MATCHING_TOOLS}) > 0", _MATCHING_TOOLS),
     "m9_started_after": _described("a.\"start\" >= '2024-01-20'"),
     "m10_ended_before": _described("a.\"end\" <= '2024-01-10'"),
+    "m12_objects_of_activities": _objects_of(_like("institute", "mach")),
     "m11_by_technique": _described(f"a.class = 'Acquisition' AND {_like('a.technique', 'photo')}"),
 }

@@ -22,14 +22,18 @@ def read_activity_json(
 ) -> DataFrame:
     """Raw activity rows, one per object and known activity.
 
-    A file holds one JSON array, or with ``lines`` one object per line, which is the form for
-    large files: only that one can be split between tasks. A file that is not JSON fails the job.
+    A file holds one JSON array, or one document, which counts as an array of one, or with ``lines`` one
+    document per line. That is the form for large files: only it can be split between tasks, the
+    others are one text each, so below 2 GB. A file that is not JSON fails the job.
     """
     if lines:
         text = spark.read.text(path).filter(F.trim("value") != "")
         documents = text.select(_strict("value", _DOCUMENT).alias("document"))
     else:
         text = spark.read.text(path, wholetext=True)
+        root = F.regexp_replace("value", r"^\uFEFF?\s+", "")
+        listed = F.when(root.startswith("{"), F.concat(F.lit("["), root, F.lit("]"))).otherwise(root)
+        text = text.select(listed.alias("value"))
         documents = text.select(F.explode(_strict("value", f"array<{_DOCUMENT}>")).alias("document"))
     return activities_from_documents(documents, key)
 

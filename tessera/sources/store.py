@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 
 from tessera import config
 from tessera.operators.activities import activities_from
-from tessera.operators.objects import Facts, facts_from
+from tessera.operators.objects import Facts, facts_from, new_facts
 from tessera.sources.activity_json import read_activity_json
 from tessera.sources.object_csv import read_object_csv
 
@@ -37,11 +37,13 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def _sorted_by(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """In ranges of the columns; equal rows, however many, may go to more than one range."""
-    placed = rows.withColumn("_task", F.spark_partition_id())
-    ranged = placed.repartitionByRange(*columns, "_task").sortWithinPartitions(*columns)
-    return ranged.drop("_task")
+def _laid_out(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Equal rows dealt out together and files sorted by the first columns.
+
+    A hash of the whole row deals evenly whatever its keys, and needs no sample of the rows first, which
+    would run all that leads to them twice. Row groups are skipped by the order within files.
+    """
+    return rows.repartition(*columns).sortWithinPartitions(*columns)
 
 
 class ObjectStore:
@@ -53,20 +55,16 @@ class ObjectStore:
         tables = {n: _read(self.spark, f"{self.path}/{n}", s) for n, s in _FACT_TABLES.items()}
         return Facts(**tables)
 
-    def push_csv(self, path: str | list[str], multiline: bool | None = None) -> None:
+    def push_csv(self, path: str | list[str], multiline: bool = True) -> None:
         self.push(read_object_csv(self.spark, path, multiline))
 
     def push(self, raw: DataFrame) -> None:
         """Add the facts of raw object rows that the store does not hold yet."""
-        new = facts_from(raw.withColumn("source", F.lit(0)))
-        held = self.facts()
+        found = facts_from(raw.withColumn("source", F.lit(0)))
+        tables = {n: getattr(found, n).select(*s.names) for n, s in _FACT_TABLES.items()}
+        new = new_facts(Facts(**tables), self.facts())
         for name, schema in _FACT_TABLES.items():
-            columns = schema.names
-            known = getattr(held, name).alias("known")
-            rows = getattr(new, name).select(*columns).alias("new")
-            same = [F.col(f"new.{c}").eqNullSafe(F.col(f"known.{c}")) for c in columns]
-            missing = rows.join(known, same, "left_anti")
-            _sorted_by(missing, columns).write.mode("append").parquet(f"{self.path}/{name}")
+            _laid_out(getattr(new, name), schema.names).write.mode("append").parquet(f"{self.path}/{name}")
 
     def reset(self) -> None:
         for name, schema in _FACT_TABLES.items():
@@ -96,7 +94,8 @@ class ProcessStore:
         """
         valid = activities_from(rows).select(*config.ACTIVITY_COLUMNS)
         target = f"{self.path}/activity/push={label or uuid.uuid4().hex}"
-        _sorted_by(valid, ["refersTo", "class", "start"]).write.mode("overwrite").parquet(target)
+        # Equal activities are many where a source repeats itself, so they are not dealt by contents.
+        valid.sortWithinPartitions("refersTo", "class", "start").write.mode("overwrite").parquet(target)
 
     def reset(self) -> None:
         empty = self.spark.createDataFrame([], config.ACTIVITY_SCHEMA).withColumn("push", F.lit(""))

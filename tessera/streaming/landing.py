@@ -2,10 +2,14 @@
 
 The cleaning and validation are those of a single push. A batch that is retried after a failure
 changes nothing: object facts are a set, and a batch of activities replaces its own earlier try.
+Batches are told apart by the id that a streaming query keeps in its progress folder, so no two
+queries, whatever folders they follow, ever replace each other's batches.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,32 +25,40 @@ def follow_objects(
     """Push the object files that are in the folder now and were not pushed before.
 
     ``progress`` is a folder of this query's own, on storage that outlives the session.
+    ``multiline`` as in ``read_object_csv``.
     """
     rows = spark.readStream.schema(schema_with_corrupt()).options(**csv_options(multiline)).csv(folder)
 
     def push(batch: DataFrame, _: int) -> None:
-        store.push(drop_long_rows(batch))
+        # Three tables are derived from the batch.
+        landed = drop_long_rows(batch).persist()
+        try:
+            store.push(landed)
+        finally:
+            landed.unpersist()
 
     return _start(rows, push, progress)
 
 
 def follow_activities(
-    spark: SparkSession, folder: str, store: ProcessStore, progress: str, name: str = "stream"
+    spark: SparkSession, folder: str, store: ProcessStore, progress: str
 ) -> StreamingQuery:
-    """Push the activity files, one document per line, that were not pushed before.
-
-    ``name`` sets the batches of this query apart from those of others into the same store.
-    """
+    """Push the activity files, one document per line, that were not pushed before."""
     lines = spark.readStream.text(folder).filter(F.trim("value") != "")
     documents = F.from_json("value", "map<string,string>", {"mode": "FAILFAST"})
     rows = lines.select(documents.alias("document"))
 
     def push(batch: DataFrame, number: int) -> None:
-        store.push(activities_from_documents(batch), label=f"{name}-{number}")
+        store.push(activities_from_documents(batch), label=f"{_query_id(spark, progress)}-{number}")
 
     return _start(rows, push, progress)
 
 
+def _query_id(spark: SparkSession, progress: str) -> str:
+    """The id that Spark wrote to the progress folder when the query first started."""
+    return json.loads(spark.read.text(f"{progress}/metadata").first()["value"])["id"]
+
+
 def _start(rows: DataFrame, push, progress: str) -> StreamingQuery:
     writer = rows.writeStream.foreachBatch(push).option("checkpointLocation", progress)
     return writer.trigger(availableNow=True).start()

@@ -117,19 +117,23 @@ def test_row_steps_reach_the_same(spark):
     assert tuples(authors) == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("hot_rows", [1, 7])
-def test_backfill_of_hot_keys_in_ranges(spark, hot_rows):
-    rng = random.Random(hot_rows)
+@pytest.mark.parametrize("letters", [1, 2])
+def test_backfill_across_stretches(spark, letters):
+    rng = random.Random(letters)
     data = [
         (rng.choice(["hot", "hot", "warm", f"k{i}"]), rng.choice([None, f"n{rng.randint(0, 40):02d}"]), i,
          rng.choice([None, None, f"a{i}"]), rng.choice([None, f"b{i}"]))
         for i in range(400)
     ]
     rows = spark.createDataFrame(data, "k string, name string, i int, a string, b string")
-    plain = joint.backfill(rows, "k", ["name", "i"], ["a", "b"])
-    split = joint.backfill(rows, "k", ["name", "i"], ["a", "b"], hot_rows=hot_rows)
-    assert tuples(split) == tuples(plain)
-    assert tuples(plain) != tuples(rows)
+    expected, later = [], {}
+    for k, name, i, a, b in sorted(data, key=lambda r: (r[0], r[1] is None, r[1] or "", r[2]), reverse=True):
+        seen = later.setdefault(k, [None, None])
+        seen[:] = [new if new is not None else old for new, old in zip((a, b), seen, strict=True)]
+        expected.append((k, name, i, *seen))
+    filled = joint.backfill(rows, "k", ["name", "i"], ["a", "b"], letters=letters)
+    assert tuples(filled) == sorted(expected, key=repr)
+    assert tuples(filled) != tuples(rows)
 
 
 def flat_objects(spark, counts):
@@ -151,11 +155,11 @@ def test_nested_authors_in_order_of_name(spark):
 
 
 def test_a_long_list_of_authors_is_continued(spark):
-    nested = joint.nest_authors(flat_objects(spark, [0, 3, 500]), list_rows=100).collect()
+    nested = joint.nest_authors(flat_objects(spark, [0, 3, 450]), list_rows=100).collect()
     assert sorted(r.identifier for r in nested) == ["o0", "o1"] + ["o2"] * 5
-    parts = [[a.name for a in r.authors] for r in nested if r.identifier == "o2"]
-    assert all(part == sorted(part) and len(part) < 200 for part in parts)
-    assert sorted(name for part in parts for name in part) == [f"n{j:04d}" for j in range(1, 501)]
+    parts = sorted((r.part, [a.name for a in r.authors]) for r in nested if r.identifier == "o2")
+    assert [len(names) for _, names in parts] == [100, 100, 100, 100, 50]
+    assert [name for _, names in parts for name in names] == [f"n{j:04d}" for j in range(1, 451)]
 
 
 def test_people_take_the_smallest_name(spark):

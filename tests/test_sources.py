@@ -157,6 +157,30 @@ def test_landed_files_are_pushed_once(spark, tmp_path):
     assert bag.activities().count() == 2
 
 
+def test_followed_folders_keep_apart(spark, tmp_path):
+    bag = ProcessStore(spark, str(tmp_path / "activities"))
+
+    def land(folder, name, progress):
+        line = json.dumps({"object id": name, "processing": {"responsible institute": "Lab"}})
+        write(tmp_path / folder / f"{name}.jsonl", line + "\n")
+        follow_activities(spark, str(tmp_path / folder), bag, str(tmp_path / progress)).awaitTermination()
+
+    land("north", "1", "progress1")
+    land("south", "2", "progress2")
+    assert [r[1] for r in tuples(bag.activities())] == ["1", "2"]
+    (tmp_path / "north" / "1.jsonl").unlink()
+    land("north", "3", "afresh")
+    assert [r[1] for r in tuples(bag.activities())] == ["1", "2", "3"]
+
+
+def test_a_single_document_is_an_array_of_one(spark, tmp_path):
+    one = {"object id": "1", "processing": {"responsible institute": "Lab", "tool": [""]}}
+    rows = read_activity_json(spark, write(tmp_path / "p.json", " \n" + json.dumps(one)))
+    store = ProcessStore(spark, str(tmp_path / "store"))
+    store.push(rows)
+    assert [(r.refersTo, r.tool) for r in store.activities().collect()] == [("1", None)]
+
+
 @pytest.mark.parametrize("text", ["[{", "not json"])
 def test_what_is_not_json_fails(spark, tmp_path, text):
     with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
