@@ -4,21 +4,29 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import blobs
 
-#: Distinct words whose ids a worker keeps (pieces of words: half as many); beyond that it starts anew.
-KEPT_WORDS = 800_000
+#: Distinct words, and pieces of words, whose ids a worker keeps; beyond that it starts anew.
+KEPT_WORDS, KEPT_PIECES = 500_000, 600_000
 
-_SIMPLE = regex.compile("[\x21-\u012F\u0131-\u024F]*")
-_PRINTABLE = regex.compile("[!-~]*")
+_SMALL = [chr(c) for c in range(0x250)]
+_PRINTABLE = re.compile("[!-~]*")
+#: Composed as they are, and lowered one by one; no controls but white space.
+_SIMPLE = re.compile("[\\t-\\r\\x20-~\xa0-\u012F\u0131-\u024F]*")
+
+
+def _of_category(category: str) -> str:
+    return "".join(re.escape(c) for c in _SMALL if unicodedata.category(c)[0] == category)
 
 
 class WordEncoder:
@@ -26,12 +34,12 @@ class WordEncoder:
 
     For tokenizers that compose, drop white space, lower the case and split by a pattern that never
     reaches across white space (``word_bpe``): the ids of a text are those of its words, one after the
-    other, and those of a word are its pieces'. So the library merges each distinct piece once. Characters up to
-    U+024F are composed as they are, and lowered one by one but for the dotted I; a word with any
-    other character, or with what may be a special token, goes to the library whole.
+    other, and those of a word are its pieces'. So the library merges each distinct piece once. Texts of
+    characters up to U+024F are split here; a word with others, or with what may be a special
+    token, goes to the library whole.
     """
 
-    def __init__(self, path: str, kept: int = KEPT_WORDS):
+    def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -41,42 +49,54 @@ class WordEncoder:
         split, byte_level = spec["pre_tokenizer"]["pretokenizers"]
         if steps != ["NFC", "Replace", "Lowercase"] or split["type"] != "Split" or byte_level["type"] != "ByteLevel":
             raise ValueError(f"{path} is not a tokenizer of words")
-        self._pieces_of = regex.compile(split["pattern"]["Regex"], regex.V0).findall
-        self._words: dict[bytes, bytes] = {}
+        pattern = split["pattern"]["Regex"]
+        for name, chars in (("\\p{L}", _of_category("L")), ("\\p{N}", _of_category("N")), ("\\s", "\\t-\\r\\x20\x85\xa0")):
+            pattern = pattern.replace(name, chars)
+        self._pieces_of = re.compile(pattern).findall
+        self._model = self._tokenizer.model
+        self._words: dict[str, bytes] = {}
         self._pieces: dict[str, bytes] = {}
-        self._kept = kept
 
     def _piece(self, piece: str) -> bytes:
-        model = self._tokenizer.model
+        merge = self._model.tokenize
         if _PRINTABLE.fullmatch(piece):  # stands for itself in the byte alphabet
-            ids = [t.id for t in model.tokenize(piece)]
-        else:
-            ids = [t.id for part, _ in self._tokenizer.pre_tokenizer.pre_tokenize_str(piece) for t in model.tokenize(part)]
-        return np.array(ids, dtype="<u4").tobytes()
+            return array("I", [t.id for t in merge(piece)]).tobytes()
+        parts = self._tokenizer.pre_tokenizer.pre_tokenize_str(piece)
+        return array("I", [t.id for part, _ in parts for t in merge(part)]).tobytes()
 
     def _word(self, word: str) -> bytes:
-        if "<|" in word or not _SIMPLE.fullmatch(word):
-            return np.array(self._tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        """Ids of a word in lower case."""
         known, ids = self._pieces, []
-        for piece in self._pieces_of(word.lower()):
+        for piece in self._pieces_of(word):
             if piece not in known:
-                if len(known) >= self._kept // 2:
+                if len(known) >= KEPT_PIECES:
                     known.clear()
                 known[piece] = self._piece(piece)
             ids.append(known[piece])
         return ids[0] if len(ids) == 1 else b"".join(ids)
 
-    def encode(self, text: bytes) -> bytes:
-        words, known = text.split(), self._words
+    def encode(self, blob: bytes) -> bytes:
+        text = blob.decode()
+        if "<|" in text or not _SIMPLE.fullmatch(text):
+            return b"".join(map(self._encode_word, blob.split()))
+        return self._encode_simple(text)
+
+    def _encode_word(self, blob: bytes) -> bytes:
+        word = blob.decode()
+        if "<|" in word or not _SIMPLE.fullmatch(word):
+            return array("I", self._tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        return self._encode_simple(word)
+
+    def _encode_simple(self, text: str) -> bytes:
+        words, known = text.lower().split(), self._words
         try:
             return b"".join([known[w] for w in words])
         except KeyError:
-            missing = {w for w in words if w not in known}
-            if len(known) + len(missing) > self._kept:
+            if len(known) + len(words) > KEPT_WORDS:
                 known.clear()
-                missing = set(words)
-            for word in missing:
-                known[word] = self._word(word.decode())
+            for w in words:
+                if w not in known:
+                    known[w] = self._word(w)
             return b"".join([known[w] for w in words])
 
 
