@@ -273,7 +273,6 @@ def good_documents(docs: DataFrame) -> DataFrame:
     texts by an id that need not be unique.
     """
     rates, estimates = fitted(_statistics(docs))
-    names = docs.columns
-    rows = counted(docs, names)
-    labelled = rows.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("lang"), F.col("source"), "counts")
-    return judged(labelled, rates, estimates).filter("kept").select("row.*")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = counted(docs.select(row, "lang", "source", "text"), ["row", "lang", "source"])
+    return judged(rows, rates, estimates).filter("kept").select("row.*")

@@ -34,6 +34,7 @@ ROUNDS = 30
 RIGHT = 0.98
 DEPENDENT = 0.3
 PATTERNS = ("shouting", "exclaiming", "no finding", "two findings")
+_FACTORS = (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 _EDGES = b".,;:!?\"'()[]{}#*$%&|<>-_"
 
 
@@ -83,15 +84,16 @@ class Classifier:
 
 
 def _distinct(rows: list[tuple[list[str], int, tuple[bool, bool]]]) -> list[tuple[list[str], int, tuple[bool, bool]]]:
-    """Without near copies, whose chance words would look like evidence."""
+    """Without near copies, whose chance words would look like evidence: two of four signatures seen before."""
     seen: set[tuple] = set()
     kept = []
     for words, label, patterns in rows:
         hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words] or [0], dtype=np.uint64)
-        keys = [(label, i, int((hashes * np.uint64(f)).min()), int((hashes * np.uint64(f)).max())) for i, f in enumerate((1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))]
-        if seen.isdisjoint(keys):
+        permuted = [hashes * np.uint64(f) for f in _FACTORS]
+        keys = {(label, i, int(p.min()), int(p.max())) for i, p in enumerate(permuted)}
+        if len(keys & seen) < 2:
             kept.append((words, label, patterns))
-        seen.update(keys)
+        seen |= keys
     return kept
 
 
