@@ -5,12 +5,14 @@ import subprocess
 import sys
 from pathlib import Path
 
+import duckdb
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tessera.llm.common import importable, written
+from tessera.llm.oracles import ORACLES
 from tessera.llm.queries import QUERIES
 
 from test_duplicates import plain_components, plain_repeats
@@ -109,3 +111,17 @@ def test_the_rest_imports_without_this_package():
         "assert 'l1_people' in e.queries() and 'pipeline' not in e.queries()\n"
     )
     subprocess.run([sys.executable, "-c", block], cwd=ROOT, check=True, timeout=120)
+
+
+@needs_tables
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for path in Path(SF_DIR).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    wanted = con.execute(ORACLES[name]).df()
+    got = QUERIES[name](spark, SF_DIR).toPandas()
+    columns = sorted(wanted.columns)
+    assert sorted(got.columns) == columns
+    rows = [sorted(map(tuple, t[columns].astype(str).itertuples(index=False))) for t in (got, wanted)]
+    assert rows[0] == rows[1]
