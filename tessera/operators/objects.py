@@ -121,17 +121,21 @@ def split_authors(cleaned: DataFrame) -> DataFrame:
     return fn.parse_authors(cells, "cell").filter(F.col("p_identifier").isNotNull())
 
 
-def facts_from(raw: DataFrame) -> Facts:
-    """Facts of raw object rows that carry a ``source`` column."""
-    described = clean_objects(raw.select("source", *config.OBJECT_COLUMNS))
-    authors = split_authors(clean_objects(raw.select(*OBJECT_KEY, "class", "hasAuthor")))
+def facts_of(cleaned: DataFrame) -> Facts:
+    """Facts of rows that ``clean_objects`` gave; they are read once for each of the three tables."""
+    authors = split_authors(cleaned)
     return Facts(
-        described.select("source", *config.OBJECT_COLUMNS),
+        cleaned.select("source", *config.OBJECT_COLUMNS),
         authors.select(*OBJECT_KEY, "p_identifier"),
         authors.select(*PERSON_KEY, "p_name"),
     ).distinct()
 
 
+def facts_from(raw: DataFrame) -> Facts:
+    """Facts of raw object rows that carry a ``source`` column."""
+    return facts_of(clean_objects(raw.select("source", *config.OBJECT.names())))
+
+
 def triples(facts: Facts) -> DataFrame:
     """Facts as ``(source, subject, predicate, object)``, one scan per fact table."""
     described = [a for a in config.OBJECT.attributes if a.name in config.OBJECT_VALUES[1:]]

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.activities import activities_from, unpivot_activities
-from tessera.operators.objects import Facts, facts_from
+from tessera.operators.objects import Facts
+from tessera.sources.store import kept_facts
 
 _PART_ROWS = (
     "CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS source",
@@ -161,7 +162,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def facts(spark: SparkSession, sf_dir: str) -> Facts:
-    return facts_from(raw_objects(spark, sf_dir))
+    return kept_facts(raw_objects(spark, sf_dir))
 
 
 def event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:

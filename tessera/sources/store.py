@@ -15,7 +15,8 @@ from pyspark.errors import AnalysisException
 
 from tessera import config
 from tessera.operators.activities import activities_from
-from tessera.operators.objects import Facts, facts_from, new_facts
+from tessera.operators.objects import Facts, clean_objects, facts_of, new_facts
+from tessera.session import ensure_checkpoint_dir
 from tessera.sources.activity_json import read_activity_json
 from tessera.sources.object_csv import read_object_csv
 
@@ -46,6 +47,23 @@ def _laid_out(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.repartition(*columns).sortWithinPartitions(*columns)
 
 
+def kept(rows: DataFrame, name: str) -> DataFrame:
+    """The rows, written once to the folder that all executors share, and read from there."""
+    path = f"{ensure_checkpoint_dir(rows.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def kept_facts(raw: DataFrame) -> Facts:
+    """The facts of raw object rows, which are read and cleaned once.
+
+    Views and integration read their facts several times over. On tables, each of these reads takes
+    the columns and the row groups that it needs, whatever lies behind the raw rows.
+    """
+    facts = facts_of(kept(clean_objects(raw.select("source", *config.OBJECT.names())), "cleaned"))
+    return Facts(kept(facts.records, "records"), kept(facts.authored, "authored"), kept(facts.person, "person"))
+
+
 class ObjectStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -60,11 +78,16 @@ class ObjectStore:
 
     def push(self, raw: DataFrame) -> None:
         """Add the facts of raw object rows that the store does not hold yet."""
-        found = facts_from(raw.withColumn("source", F.lit(0)))
-        tables = {n: getattr(found, n).select(*s.names) for n, s in _FACT_TABLES.items()}
-        new = new_facts(Facts(**tables), self.facts())
-        for name, schema in _FACT_TABLES.items():
-            _laid_out(getattr(new, name), schema.names).write.mode("append").parquet(f"{self.path}/{name}")
+        # Read and cleaned once for the three writes; what does not fit the memory goes to disk.
+        cleaned = clean_objects(raw.withColumn("source", F.lit(0))).persist()
+        try:
+            found = facts_of(cleaned)
+            tables = {n: getattr(found, n).select(*s.names) for n, s in _FACT_TABLES.items()}
+            new = new_facts(Facts(**tables), self.facts())
+            for name, schema in _FACT_TABLES.items():
+                _laid_out(getattr(new, name), schema.names).write.mode("append").parquet(f"{self.path}/{name}")
+        finally:
+            cleaned.unpersist()
 
     def reset(self) -> None:
         for name, schema in _FACT_TABLES.items():

@@ -52,3 +52,10 @@ def test_plans_have_no_pairs_and_no_python(spark, name):
     plan = queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython"):
         assert bad not in plan
+
+
+@needs_tables
+@pytest.mark.parametrize("name", ["d3_object_rows", "c1_by_identifier", "d2_object_values", "l2_objects"])
+def test_raw_tables_are_not_read_again_by_the_views(spark, name):
+    plan = queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan and "orders" not in plan
