@@ -34,7 +34,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="tessera-checkpoint-")
     context.setCheckpointDir(shared)
