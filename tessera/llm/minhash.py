@@ -1,9 +1,9 @@
 """Near-duplicate documents by min-max hashing, confirmed on their full sets of shingles.
 
-Each permutation of the hashes gives two signature values, the smallest and the largest. Bands of five values
+Each permutation of the hashes gives two signature values, the smallest and the largest. Bands of four values
 put documents into buckets. Documents with the same set are one class, told apart by a digest, so copies cost nothing
-beyond their own row. The classes of a bucket are compared on their full sets, in tasks that hold two blocks of
-the bucket at most; a task gives the links that its classes need to hang together, not all pairs.
+beyond their own row. Classes that share buckets are compared on their full sets, in tasks that hold two blocks of
+a group at most; a task gives the links that its classes need to hang together, not all pairs.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from tessera.llm.components import components
 from tessera.llm.shingles import WordHashes, run_hashes
 
 #: Bands of values; half as many permutations as values. A pair at 0.8 shares no bucket once in 300,000.
-BANDS, ROWS = 32, 5
+BANDS, ROWS = 24, 4
 #: Most classes, and shingles, that one block of a bucket holds (about).
 BLOCK_CLASSES, BLOCK_SHINGLES = 2_000, 2_000_000
 
@@ -119,77 +119,107 @@ def linked(sets: list[np.ndarray], left: int, percent: int) -> list[tuple[int, i
 
 
 def _links(blocks: DataFrame, percent: int) -> DataFrame:
-    """Links within the blocks: rows key, i, j, side (0 of block i, 1 of block j), digest, shingles."""
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    """Links within the blocks: rows of ``_blocks`` with their shingles."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def compare(group: list[tuple[int, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+    def compare(group: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
         left = sum(side == 0 for side, _, _ in group)
         if len(group) > 1 and left:
             pairs = linked([np.frombuffer(s, np.uint64) for _, _, s in group], left if left < len(group) else 0, percent)
             if pairs:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([group[i][1] for i, _ in pairs], pa.binary()), pa.array([group[j][1] for _, j in pairs], pa.binary())],
+                    [pa.array([group[i][1] for i, _ in pairs], pa.int64()), pa.array([group[j][1] for _, j in pairs], pa.int64())],
                     schema=schema,
                 )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, group = None, []
         for batch in batches:
-            keys = zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
-            for k, (key, side, digest) in enumerate(zip(keys, batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
+            keys = zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True)
+            for k, (key, side, number) in enumerate(zip(keys, batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)):
                 if key != now:
                     yield from compare(group)
                     now, group = key, []
-                group.append((side, digest, batch.column(5)[k].as_py()))
+                group.append((side, number, batch.column(6)[k].as_py()))
         yield from compare(group)
 
-    dealt = blocks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "digest")
-    return dealt.select("key", "i", "j", "side", "digest", "shingles").mapInArrow(run, "a binary, b binary")
+    names = ["whole", "key", "i", "j"]
+    dealt = blocks.repartition(*names).sortWithinPartitions(*names, "side", "number")
+    return dealt.select(*names, "side", "number", "shingles").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, length: int, percent: int = 80) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id linked with it, itself included), kept.
+def _members(classes: DataFrame) -> DataFrame:
+    """Groups of classes that share buckets: key, number, n_shingles, and size and shingles of the whole group.
 
-    Documents are linked where the similarity of their sets of ``length``-word shingles is at least ``percent`` / 100. A text
-    of fewer words is one shingle; one without words is linked with nothing, not even its like. ``kept`` marks the document
-    whose id is the component's; of repeated rows of that id, all. A null doc_id takes part in links; a component of
-    such rows alone has a null id and is kept. No documents give no rows.
+    Buckets that hang together over their members are one group, so a class is compared in one place only. Where such a group is
+    too large for a block, its buckets are groups of their own, those with the same members once.
     """
-    sketch = written(_sketched(docs, length), "minhash-sketch")
-    classes = sketch.filter("digest is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys")
-    )
-    classes = written(classes, "minhash-classes")
-    in_buckets = classes.select(F.explode("keys").alias("key"), "digest", "n_shingles")
-    # A bucket's members in short: buckets with the same members are compared once.
+    in_buckets = classes.select(F.explode("keys").alias("key"), "number", "n_shingles")
     buckets = in_buckets.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"),
         F.sum("n_shingles").alias("shingles"),
-        F.bit_xor(F.xxhash64("digest")).alias("members"),
-        F.bit_xor(F.xxhash64("n_shingles", "digest")).alias("members2"),
+        F.min("number").alias("least"),
+        F.bit_xor(F.xxhash64("number")).alias("members"),
     )
-    buckets = buckets.filter("size > 1").groupBy("size", "shingles", "members", "members2").agg(F.min("key").alias("key"))
+    buckets = buckets.filter("size > 1").groupBy("size", "shingles", "least", "members").agg(F.min("key").alias("key"))
+    buckets = written(buckets.select("key", "size", "shingles", "least"), "minhash-buckets")
+    shared = written(in_buckets.join(buckets, "key"), "minhash-shared")
+    together = components(shared.select(F.col("least").alias("a"), F.col("number").alias("b")))
+    whole = together.join(classes.select(F.col("number").alias("node"), "n_shingles"), "node")
+    sizes = whole.groupBy("root").agg(F.count(F.lit(1)).alias("of_all"), F.sum("n_shingles").alias("shingles_of_all"))
+    fits = (F.col("of_all") <= BLOCK_CLASSES) & (F.col("shingles_of_all") <= BLOCK_SHINGLES)
+    sizes = written(sizes.withColumn("fits", fits), "minhash-sizes")
+    small = whole.join(sizes.filter("fits"), "root").select(
+        F.lit(True).alias("whole"), F.col("root").alias("key"), F.col("node").alias("number"),
+        F.col("of_all").alias("size"), F.col("shingles_of_all").alias("shingles"),
+    )
+    large = together.join(sizes.filter("not fits"), "root").select(F.col("node").alias("number"))
+    apart = shared.join(large, "number").select(F.lit(False).alias("whole"), "key", "number", "size", "shingles")
+    return small.unionByName(apart)
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """Pairs of blocks of a group: whole, key, i, j, side (0 of block i, 1 of block j), number."""
     parts = F.greatest(F.ceil(F.col("size") / BLOCK_CLASSES), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    members = in_buckets.join(buckets.select("key", parts.alias("parts")), "key").select("key", "digest", "parts")
-    members = written(members, "minhash-members")
-    wanted = members.select("digest").distinct().join(classes.select("digest", "first"), "digest")
-    # Texts of the classes' first documents; where ids repeat, the digest tells which row is meant.
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    firsts = wanted.select(F.col("first")).distinct()
-    chosen = texts.join(firsts, texts["doc_id"].eqNullSafe(firsts["first"]), "left_semi")
-    sets = _sets(chosen, length).dropDuplicates(["digest"])
-    block = F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int")
-    blocks = members.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    blocks = blocks.select(
+    block = F.pmod(F.xxhash64("number"), parts).cast("int")
+    pairs = members.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return pairs.select(
+        "whole",
         "key",
         F.least("block", "other").alias("i"),
         F.greatest("block", "other").alias("j"),
         F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"),
-        "digest",
+        "number",
+    )
+
+
+def _numbered_sets(docs: DataFrame, length: int, classes: DataFrame, members: DataFrame) -> DataFrame:
+    """number and shingles of the classes that share a bucket, from the texts of their first documents."""
+    wanted = classes.select("number", "digest", "first").join(members.select("number").distinct(), "number")
+    firsts = wanted.select("first").distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    chosen = texts.join(firsts, texts["doc_id"].eqNullSafe(firsts["first"]), "left_semi")
+    # Where ids repeat, the digest tells which row is meant, and one row stands for all copies.
+    sets = _sets(chosen, length).join(wanted.select("digest", "number"), "digest").select("number", "shingles")
+    return sets.dropDuplicates(["number"])
+
+
+def near_duplicates(docs: DataFrame, length: int, percent: int = 80) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id linked with it, itself included), kept.
+
+    Documents are linked where the similarity of their sets of ``length``-word shingles is at least ``percent`` / 100. A text
+    of fewer words is one shingle; one without words is linked with nothing, not even its like. ``kept`` marks the document
+    whose id is the component's; of repeated rows of that id, all. A null doc_id takes part in links; a component of
+    such rows alone has a null id and is kept. No documents give no rows.
+    """
+    sketch = written(_sketched(docs, length), "minhash-sketch")
+    classes = sketch.filter("digest is not null").groupBy("digest").agg(
+        F.min("doc_id").alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys")
     )
-    links = written(_links(blocks.join(sets, "digest"), percent), "minhash-links")
-    roots = components(links)
-    named = classes.select("digest", "first").join(roots.withColumnRenamed("node", "digest"), "digest")
+    classes = written(classes.withColumn("number", F.monotonically_increasing_id()), "minhash-classes")
+    members = written(_members(classes), "minhash-members")
+    links = written(_links(_blocks(members).join(_numbered_sets(docs, length, classes, members), "number"), percent), "minhash-links")
+    named = classes.select("digest", "first", F.col("number").alias("node")).join(components(links), "node")
     ids = named.groupBy("root").agg(F.min("first").alias("component_id"))
     linked_ids = named.join(ids, "root").select("digest", F.col("component_id").alias("linked_id"))
     own = classes.select("digest", "first").join(linked_ids, "digest", "left")
