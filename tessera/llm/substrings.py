@@ -93,6 +93,8 @@ def without_repeats(docs: DataFrame, words: int = 35, layout: bool = False) -> D
     flat = seeded.select("k1", "k2", F.explode(F.arrays_zip("seeds", "places")).alias("s"))
     flat = flat.select(F.col("s.seeds").alias("seed"), "k1", "k2", F.col("s.places").alias("place"))
     twice = flat.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed")
+    # Written, so that both sides of the join are shuffled for it alone and hot seeds can be split.
+    twice = written(twice, "shared-seeds")
     shared = flat.join(twice, "seed").groupBy("k1", "k2").agg(F.collect_set("place").alias("places"))
     copies = seeded.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("copies"))
     # One text per digest is looked into.
@@ -102,6 +104,7 @@ def without_repeats(docs: DataFrame, words: int = 35, layout: bool = False) -> D
     flat = flat.select(F.col("s.hashes").alias("hash"), "k1", "k2", F.col("s.starts").alias("start"), "copies")
     flat = written(flat, "stretches")
     repeated = flat.groupBy("hash").agg(F.sum("copies").alias("n")).filter("n > 1").select("hash")
+    repeated = written(repeated, "repeats")
     found = flat.join(repeated, "hash").groupBy("k1", "k2").agg(F.collect_list("start").alias("starts"))
     return _cut(keyed.join(found, ["k1", "k2"], "left"), names, words, layout)
 
