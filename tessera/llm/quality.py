@@ -228,7 +228,8 @@ def fitted(stats: DataFrame, cutoff: float = CUTOFF) -> tuple[dict[str, float],
     for step in range(STEPS + 1):
         # Concentration steps keep the closest; the last one reweights, keeping all but clear outliers.
         last = step == STEPS
-        cuts = _scaled(rows, written(now, "quality-step"), [0.5, HELD])
+        # A written table of a row per part is small enough to meet the rows where they are.
+        cuts = written(_scaled(rows, written(now, "quality-step"), [0.5, HELD]), "quality-cuts")
         near = F.col("cuts")[0] / half * chi_squared(0.975, SIZE) if last else F.col("cuts")[1]
         joined = rows.join(cuts.select("part", "mean", "whiten", near.alias("near")), "part")
         inside = _distance() <= F.col("near")
