@@ -34,9 +34,19 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     spark = rows.sparkSession
     path = shared_folder(spark, name)
     rows.write.parquet(path)
+    release(spark)
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let executors drop shuffle files of finished parts now.
+
+    They go once the driver has collected the plans that used them as garbage, which it does when its memory
+    fills up, not when disks do.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def blobs(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """Texts as UTF-8 bytes, null as empty."""
     return [b if b is not None else b"" for b in column.cast(pa.binary()).to_pylist()]
