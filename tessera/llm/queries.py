@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, kdtree, minhash, packing, pieces, pii, quality, substrings, token_files, toxicity
-from tessera.llm.common import importable
+from tessera.llm import chat, kdtree, minhash, packing, pieces, pii, quality, runs, substrings, token_counts, token_files
+from tessera.llm import toxicity, whitening
+from tessera.llm.common import WORD, importable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,3 +117,49 @@ def op10_quality_rules(spark, sf):
     rows = quality.quality(table(spark, sf, "documents"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return rows.select("doc_id", *counts, "base_failed", "kept")
+
+
+@query
+def op11_token_counts(spark, sf):
+    return token_counts.token_counts(table(spark, sf, "documents"), public_tokenizers.path(BYTE_BPE), limit=512)
+
+
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """Documents of which about a tenth, by a hash of their id, repeat a stretch of their words to their end.
+
+    Their words are joined by one space. A null id changes nothing.
+    """
+    h = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"({WORD})"), F.lit(1)))
+    n, g = F.size("words"), F.floor(h / 10)
+    rows = docs.select("doc_id", "text", words.alias("words"), g.alias("g")).withColumn("n", n.cast("long"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n"))).withColumn("rest", F.col("n") - F.col("a"))
+    rows = rows.withColumn("p", 1 + F.floor(F.col("rest") / (3 + F.col("g") % 8)))
+    a, rest, p = (F.col(c).cast("int") for c in ("a", "rest", "p"))
+    again = F.flatten(F.array_repeat(F.slice("words", a + 1, p), F.ceil(rest / p).cast("int")))
+    changed = F.concat(F.slice("words", F.lit(1), a), F.slice(again, F.lit(1), rest))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark, sf):
+    rows = runs.document_runs(_with_periods(table(spark, sf, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("l"), (-r["start"]).alias("s"), (-r["period"]).alias("q"))))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    rows = rows.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), line.alias("lines"), "collapsed")
+    period = -F.col("best")["q"]
+    return rows.select(
+        "doc_id",
+        "n_runs",
+        (-F.col("best")["s"]).alias("start"),
+        F.col("best")["l"].alias("length"),
+        period.alias("period"),
+        F.floor(1000 * F.col("best")["l"] / period).alias("exponent_milli"),
+        F.sha2(F.encode(F.array_join("lines", ""), "UTF-8"), 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_embedding_whitening(spark, sf):
+    return whitening.whitened(table(spark, sf, "embeddings"), "vec_id", "embedding", scale=256, components=4)
