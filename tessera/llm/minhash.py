@@ -2,8 +2,9 @@
 
 Each permutation of the hashes gives two signature values, the smallest and the largest. Bands of four values
 put documents into buckets. Documents with the same set are one class, told apart by a digest, so copies cost nothing
-beyond their own row. Classes that share buckets are compared on their full sets, in tasks that hold two blocks of
-a group at most; a task gives the links that its classes need to hang together, not all pairs.
+beyond their own row. Whatever the size of a bucket, its classes are compared on their full sets as far as they
+do not hang together already: first each class with the smallest that it shares a bucket with, then, in buckets that are still
+mixed, classes of different components, in tasks that hold two blocks at most.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from tessera.llm.shingles import WordHashes, run_hashes
 #: Bands of values; half as many permutations as values. A pair at 0.8 shares no bucket once in 300,000.
 BANDS, ROWS = 24, 4
 #: Most classes, and shingles, that one block of a bucket holds (about).
-BLOCK_CLASSES, BLOCK_SHINGLES = 2_000, 2_000_000
+BLOCK_CLASSES, BLOCK_SHINGLES = 2_000, 500_000
 
 _RANDOM = np.random.default_rng(20)
 _FACTORS = _RANDOM.integers(1, 2**32, BANDS * ROWS // 2, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -85,117 +86,189 @@ def _sets(docs: DataFrame, length: int) -> DataFrame:
     return docs.select("text").mapInArrow(sets, "digest binary, shingles binary")
 
 
-def linked(sets: list[np.ndarray], left: int, percent: int) -> list[tuple[int, int]]:
+def near(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are similar enough."""
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    few, many = (a, b) if len(a) <= len(b) else (b, a)
+    places = np.minimum(np.searchsorted(many, few), len(many) - 1)
+    both = int(np.count_nonzero(many[places] == few))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+class _Counts:
+    """Intersections of one set with all others, through lists of who holds a shingle."""
+
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray):
+        self._m = len(sets)
+        self._codes = np.unique(np.concatenate(sets), return_inverse=True)[1].reshape(-1).astype(np.int32)
+        self._bounds = np.concatenate([[0], np.cumsum(sizes)])
+        order = np.argsort(self._codes, kind="stable")
+        self._holders = np.repeat(np.arange(self._m, dtype=np.int32), sizes)[order]
+        self._starts = np.concatenate([[0], np.cumsum(np.bincount(self._codes))])
+
+    def of(self, i: int) -> np.ndarray:
+        mine, both = self._codes[self._bounds[i] : self._bounds[i + 1]], np.zeros(self._m, dtype=np.int64)
+        step = max(1, 500_000 // self._m)  # shingles at a time, which all sets can hold at most
+        for at in range(0, len(mine), step):
+            some = mine[at : at + step]
+            first, count = self._starts[some], self._starts[some + 1] - self._starts[some]
+            places = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+            both += np.bincount(self._holders[places], minlength=self._m)
+        return both
+
+
+def linked(sets: list[np.ndarray], left: int, percent: int, labels: list[int] | None = None) -> list[tuple[int, int]]:
     """Links that make the components among sets whose similarity is at least ``percent`` / 100.
 
-    ``left`` = 0: of all pairs; otherwise of pairs of one of the first ``left`` sets and one of the others. Sets meet through
-    lists of who holds a shingle; each gives its intersections with all before it in one count.
+    ``left`` = 0: of all pairs; otherwise of pairs of one of the first ``left`` sets and one of the others. Sets of equal ``labels``
+    are known to hang together and not compared. A set is tried with a few of each large component so far; one link
+    settles the component. With what is left it is compared set by set, or, if that is much, by one count of all intersections.
     """
     m, sizes = len(sets), np.array([len(s) for s in sets])
-    if m == 2:
-        both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        return [(1, 0)] if 100 * both >= percent * (sizes.sum() - both) else []
-    codes = np.unique(np.concatenate(sets), return_inverse=True)[1].reshape(-1)
-    owner = np.repeat(np.arange(m), sizes)
-    order = np.argsort(codes, kind="stable")
-    holders, starts = owner[order], np.concatenate([[0], np.cumsum(np.bincount(codes))])
-    bounds, root, links = np.concatenate([[0], np.cumsum(sizes)]), np.arange(m), []
-    step = max(1, 1_000_000 // m)  # shingles at a time, which m sets can hold at most
+    root = np.unique(labels, return_inverse=True)[1].reshape(-1) if labels is not None else np.arange(m)
+    counts, links = None, []
     for i in range(max(1, left), m):
-        mine = codes[bounds[i] : bounds[i + 1]]
-        both = np.zeros(m, dtype=np.int64)
-        for at in range(0, len(mine), step):
-            some = mine[at : at + step]
-            first, count = starts[some], starts[some + 1] - starts[some]
-            places = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-            both += np.bincount(holders[places], minlength=m)
-        both = both[: left or i]
-        near = np.flatnonzero(100 * both >= percent * (sizes[: left or i] + sizes[i] - both))
-        for r in np.unique(root[near]):
-            if r != root[i]:
-                links.append((i, int(near[root[near] == r][0])))
-                root[root == r] = root[i]
+        before = slice(0, left or i)
+        fits = 100 * np.minimum(sizes[before], sizes[i]) >= percent * np.maximum(sizes[before], sizes[i])
+
+        def others(fits: np.ndarray = fits, before: slice = before, i: int = i) -> np.ndarray:
+            return np.flatnonzero(fits & (root[before] != root[i]))
+
+        def join(j: int, i: int = i) -> None:
+            links.append((i, j))
+            root[root == root[j]] = root[i]
+
+        open_ones = others()
+        if not len(open_ones):
+            continue
+        parts, count = np.unique(root[open_ones], return_counts=True)
+        for part in parts[np.argsort(-count)[:4]]:
+            for j in open_ones[root[open_ones] == part][:2].tolist():
+                if near(sets[i], sets[j], percent):
+                    join(j)
+                    break
+        open_ones = others()
+        if len(open_ones) <= 32:
+            for j in open_ones.tolist():
+                if root[j] != root[i] and near(sets[i], sets[j], percent):
+                    join(j)
+        else:
+            counts = counts or _Counts(sets, sizes)
+            both = counts.of(i)[before]
+            for j in np.flatnonzero(fits & (100 * both >= percent * (sizes[before] + sizes[i] - both))).tolist():
+                if root[j] != root[i]:
+                    join(j)
     return links
 
 
-def _links(blocks: DataFrame, percent: int) -> DataFrame:
-    """Links within the blocks: rows of ``_blocks`` with their shingles."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _pairs(found: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    if found:
+        yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*found, strict=True)], schema=_LINK)
+
 
-    def compare(group: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
-        left = sum(side == 0 for side, _, _ in group)
-        if len(group) > 1 and left:
-            pairs = linked([np.frombuffer(s, np.uint64) for _, _, s in group], left if left < len(group) else 0, percent)
-            if pairs:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([group[i][1] for i, _ in pairs], pa.int64()), pa.array([group[j][1] for _, j in pairs], pa.int64())],
-                    schema=schema,
-                )
+def _first_links(wanted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of classes and their ``leader``, which is sent once to each stretch of the classes that it leads."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, leader = None, None
+        for batch in batches:
+            found = []
+            names = zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True)
+            for k, (number, stretch, side, member) in enumerate(names):
+                shingles_of = np.frombuffer(batch.column(4)[k].as_py(), np.uint64)
+                if side == 0:
+                    now, leader = (number, stretch), shingles_of
+                elif now == (number, stretch) and near(leader, shingles_of, percent):
+                    found.append((member, number))
+            yield from _pairs(found)
+
+    stretches = F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES).cast("int")
+    led = wanted.groupBy("leader").agg(stretches.alias("stretches"))
+    members = wanted.join(led, "leader").select(
+        "leader", F.pmod(F.xxhash64("number"), "stretches").cast("int").alias("stretch"), F.lit(1).alias("side"), "number"
+    )
+    leaders = led.select(
+        "leader", F.explode(F.sequence(F.lit(0), F.col("stretches") - 1)).alias("stretch"), F.lit(0).alias("side"),
+        F.col("leader").alias("number"),
+    )
+    rows = members.unionByName(leaders).join(sets, "number")
+    dealt = rows.repartition("leader", "stretch").sortWithinPartitions("leader", "stretch", "side", "number")
+    return dealt.select("leader", "stretch", "side", "number", "shingles").mapInArrow(compare, "a long, b long")
+
+
+def _blocks(shared: DataFrame) -> DataFrame:
+    """Rows of pairs of blocks to compare: key, pair (four numbers), side (0 or 1), number, label.
+
+    Of ``shared`` (key, number, label, n_shingles) each bucket is cut into blocks. Classes of a label that fills blocks have blocks of
+    their own, which are never compared with each other; all other labels share blocks.
+    """
+    load = F.sum(1 / F.lit(BLOCK_CLASSES) + F.col("n_shingles") / BLOCK_SHINGLES)
+    labels = shared.groupBy("key", "label").agg(load.alias("load"))
+    team = F.when(F.col("load") > 1, F.col("label")).otherwise(-1)
+    teams = labels.withColumn("team", team)
+    sizes = teams.groupBy("key", "team").agg(F.ceil(F.sum("load")).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("number"), "parts").cast("int").alias("part")
+    placed = shared.join(teams.select("key", "label", "team"), ["key", "label"]).join(sizes, ["key", "team"])
+    placed = placed.select("key", "team", part, "number", "label")
+    blocks = sizes.select("key", "team", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    a, b = blocks.alias("a"), blocks.alias("b")
+    apart = F.col("a.team") < F.col("b.team")
+    together = (F.col("a.team") == -1) & (F.col("b.team") == -1) & (F.col("a.part") <= F.col("b.part"))
+    pairs = a.join(b, F.col("a.key").eqNullSafe(F.col("b.key")) & (apart | together)).select(
+        F.col("a.key").alias("key"),
+        F.array(F.col("a.team"), F.col("a.part").cast("long"), F.col("b.team"), F.col("b.part").cast("long")).alias("pair"),
+    )
+    sides = pairs.select("key", "pair", F.explode(F.array_distinct(F.array(F.slice("pair", 1, 2), F.slice("pair", 3, 2)))).alias("block"))
+    sides = sides.select(
+        "key", "pair", F.col("block")[0].alias("team"), F.col("block")[1].cast("int").alias("part"),
+        F.when(F.col("block") == F.slice("pair", 1, 2), 0).otherwise(1).alias("side"),
+    )
+    return placed.join(sides, ["key", "team", "part"]).select("key", "pair", "side", "number", "label")
+
+
+def _last_links(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between labels within the pairs of blocks."""
+
+    def compare(group: list[tuple[int, int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+        left = sum(side == 0 for side, *_ in group)
+        if len({label for _, _, label, _ in group}) > 1 and left:
+            found = [np.frombuffer(s, np.uint64) for *_, s in group]
+            links = linked(found, left if left < len(group) else 0, percent, [label for _, _, label, _ in group])
+            yield from _pairs([(group[i][1], group[j][1]) for i, j in links])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, group = None, []
         for batch in batches:
-            keys = zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True)
-            for k, (key, side, number) in enumerate(zip(keys, batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)):
-                if key != now:
+            columns = [batch.column(k).to_pylist() for k in range(5)]
+            for k, (key, pair, *rest) in enumerate(zip(*columns, strict=True)):
+                if (key, pair) != now:
                     yield from compare(group)
-                    now, group = key, []
-                group.append((side, number, batch.column(6)[k].as_py()))
+                    now, group = (key, pair), []
+                group.append((*rest, batch.column(5)[k].as_py()))
         yield from compare(group)
 
-    names = ["whole", "key", "i", "j"]
-    dealt = blocks.repartition(*names).sortWithinPartitions(*names, "side", "number")
-    return dealt.select(*names, "side", "number", "shingles").mapInArrow(run, "a long, b long")
+    dealt = blocks.join(sets, "number").repartition("key", "pair").sortWithinPartitions("key", "pair", "side", "number")
+    return dealt.select("key", "pair", "side", "number", "label", "shingles").mapInArrow(run, "a long, b long")
 
 
-def _members(classes: DataFrame) -> DataFrame:
-    """Groups of classes that share buckets: key, number, n_shingles, and size and shingles of the whole group.
-
-    Buckets that hang together over their members are one group, so a class is compared in one place only. Where such a group is
-    too large for a block, its buckets are groups of their own, those with the same members once.
-    """
+def _shared_buckets(classes: DataFrame) -> DataFrame:
+    """key, number, n_shingles, least (number) and size of buckets with more than one class; of buckets with the same classes, one."""
     in_buckets = classes.select(F.explode("keys").alias("key"), "number", "n_shingles")
     buckets = in_buckets.groupBy("key").agg(
-        F.count(F.lit(1)).alias("size"),
-        F.sum("n_shingles").alias("shingles"),
-        F.min("number").alias("least"),
-        F.bit_xor(F.xxhash64("number")).alias("members"),
-    )
-    buckets = buckets.filter("size > 1").groupBy("size", "shingles", "least", "members").agg(F.min("key").alias("key"))
-    buckets = written(buckets.select("key", "size", "shingles", "least"), "minhash-buckets")
-    shared = written(in_buckets.join(buckets, "key"), "minhash-shared")
-    together = components(shared.select(F.col("least").alias("a"), F.col("number").alias("b")))
-    whole = together.join(classes.select(F.col("number").alias("node"), "n_shingles"), "node")
-    sizes = whole.groupBy("root").agg(F.count(F.lit(1)).alias("of_all"), F.sum("n_shingles").alias("shingles_of_all"))
-    fits = (F.col("of_all") <= BLOCK_CLASSES) & (F.col("shingles_of_all") <= BLOCK_SHINGLES)
-    sizes = written(sizes.withColumn("fits", fits), "minhash-sizes")
-    small = whole.join(sizes.filter("fits"), "root").select(
-        F.lit(True).alias("whole"), F.col("root").alias("key"), F.col("node").alias("number"),
-        F.col("of_all").alias("size"), F.col("shingles_of_all").alias("shingles"),
+        F.count(F.lit(1)).alias("size"), F.min("number").alias("least"), F.bit_xor(F.xxhash64("number")).alias("members"),
+        F.sum(F.xxhash64("number", F.lit(1)).cast("decimal(38,0)")).alias("members_too"),
     )
-    large = together.join(sizes.filter("not fits"), "root").select(F.col("node").alias("number"))
-    apart = shared.join(large, "number").select(F.lit(False).alias("whole"), "key", "number", "size", "shingles")
-    return small.unionByName(apart)
-
-
-def _blocks(members: DataFrame) -> DataFrame:
-    """Pairs of blocks of a group: whole, key, i, j, side (0 of block i, 1 of block j), number."""
-    parts = F.greatest(F.ceil(F.col("size") / BLOCK_CLASSES), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    block = F.pmod(F.xxhash64("number"), parts).cast("int")
-    pairs = members.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    return pairs.select(
-        "whole",
-        "key",
-        F.least("block", "other").alias("i"),
-        F.greatest("block", "other").alias("j"),
-        F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"),
-        "number",
-    )
+    buckets = buckets.filter("size > 1").groupBy("size", "least", "members", "members_too").agg(F.min("key").alias("key"))
+    return in_buckets.join(buckets.select("key", "size", "least"), "key")
 
 
-def _numbered_sets(docs: DataFrame, length: int, classes: DataFrame, members: DataFrame) -> DataFrame:
-    """number and shingles of the classes that share a bucket, from the texts of their first documents."""
-    wanted = classes.select("number", "digest", "first").join(members.select("number").distinct(), "number")
+def _numbered_sets(docs: DataFrame, length: int, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """number and shingles of the ``wanted`` classes, from the texts of their first documents."""
+    wanted = classes.select("number", "digest", "first").join(wanted.select("number").distinct(), "number")
     firsts = wanted.select("first").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chosen = texts.join(firsts, texts["doc_id"].eqNullSafe(firsts["first"]), "left_semi")
@@ -204,6 +277,33 @@ def _numbered_sets(docs: DataFrame, length: int, classes: DataFrame, members: Da
     return sets.dropDuplicates(["number"])
 
 
+def _links(docs: DataFrame, length: int, classes: DataFrame, percent: int) -> DataFrame:
+    """Links that make the components of classes: of all pairs that share a bucket and are similar enough, confirmed on full sets.
+
+    First each class is compared with the smallest one that it shares a bucket with. What hangs together then has a label, and only
+    buckets with more than one label go on, in which classes of different labels are compared.
+    """
+    shared = written(_shared_buckets(classes), "minhash-shared")
+    leaders = shared.groupBy("number").agg(F.min("least").alias("leader"))
+    sets = written(_numbered_sets(docs, length, classes, leaders), "minhash-sets")
+    wanted = leaders.filter("leader <> number")
+    first = written(_first_links(wanted, sets, percent), "minhash-first-links")
+    labels = components(first).select(F.col("node").alias("number"), F.col("root").alias("label"))
+    known = shared.join(labels, "number", "left").withColumn("label", F.coalesce("label", "number"))
+    known = known.join(leaders, "number")
+    told = F.col("leader") == F.col("least")  # compared with the bucket's smallest class already, as far as it isn't that itself
+    mixed = known.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"),
+        F.max(told & (F.col("number") != F.col("least"))).alias("told"),
+    )
+    mixed = mixed.filter("low <> high and not (n = 2 and told)").select("key")
+    rest = written(known.join(mixed, "key", "left_semi").select("key", "number", "label", "n_shingles"), "minhash-rest")
+    if rest.isEmpty():
+        return first
+    last = _last_links(_blocks(rest), sets, percent)
+    return written(first.unionByName(last), "minhash-links")
+
+
 def near_duplicates(docs: DataFrame, length: int, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id linked with it, itself included), kept.
 
@@ -217,8 +317,7 @@ def near_duplicates(docs: DataFrame, length: int, percent: int = 80) -> DataFram
         F.min("doc_id").alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys")
     )
     classes = written(classes.withColumn("number", F.monotonically_increasing_id()), "minhash-classes")
-    members = written(_members(classes), "minhash-members")
-    links = written(_links(_blocks(members).join(_numbered_sets(docs, length, classes, members), "number"), percent), "minhash-links")
+    links = _links(docs, length, classes, percent)
     named = classes.select("digest", "first", F.col("number").alias("node")).join(components(links), "node")
     ids = named.groupBy("root").agg(F.min("first").alias("component_id"))
     linked_ids = named.join(ids, "root").select("digest", F.col("component_id").alias("linked_id"))

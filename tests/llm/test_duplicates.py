@@ -1,6 +1,7 @@
 """Near copies, repeated passages and components against plain versions."""
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -54,10 +55,13 @@ def plain_components(rows, length):
     return sorted((d, len(s), find(d), find(d) == d) for d, s in sets.items())
 
 
-@pytest.mark.parametrize(("seed", "length", "block"), [(0, 4, 2000), (1, 5, 2000), (2, 4, 3)])
-def test_near_duplicates_as_all_pairs_say(spark, monkeypatch, seed, length, block):
+@pytest.mark.parametrize(
+    ("seed", "length", "classes", "shingles"), [(0, 4, 2000, 500_000), (1, 5, 2000, 500_000), (2, 4, 3, 500_000), (3, 4, 2000, 150)]
+)
+def test_near_duplicates_as_all_pairs_say(spark, monkeypatch, seed, length, classes, shingles):
     importable(spark)
-    monkeypatch.setattr(minhash, "BLOCK_CLASSES", block)
+    monkeypatch.setattr(minhash, "BLOCK_CLASSES", classes)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", shingles)
     rows = corpus(seed)
     docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
     got = sorted(tuple(r) for r in minhash.near_duplicates(docs, length).collect())
@@ -86,6 +90,48 @@ def test_links_hold_the_components_together():
     assert set(links) <= near and len(links) < len(sets)
     cross = minhash.linked(sets, 7, 80)
     assert all(i >= 7 > j for i, j in cross) and set(cross) <= near
+    assert minhash.linked(sets, 0, 80, [5] * len(sets)) == []
+
+
+def parts_of(m, links):
+    root = list(range(m))
+    for i, j in links:
+        a, b = root[i], root[j]
+        root = [a if r == b else r for r in root]
+    return {frozenset(k for k in range(m) if root[k] == r) for r in root}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_links_of_many_sets_make_the_components_of_all_pairs(seed):
+    rng = np.random.default_rng(seed)
+    bases = [np.unique(rng.integers(0, 2**63, 60, dtype=np.uint64)) for _ in range(2)]
+    sets = []
+    for _ in range(150):
+        base = bases[rng.integers(0, 2)]
+        kept = rng.random(len(base)) > rng.choice([0.02, 0.1, 0.15, 0.4])
+        sets.append(np.unique(np.concatenate([base[kept], rng.integers(0, 2**63, int(rng.integers(0, 8)), dtype=np.uint64)])))
+    pairs = [
+        (i, j) for i in range(len(sets)) for j in range(i)
+        if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))
+    ]
+    assert parts_of(len(sets), minhash.linked(sets, 0, 80)) == parts_of(len(sets), pairs)
+    labels = [min(part) for k in range(len(sets)) for part in parts_of(len(sets), pairs[::3]) if k in part]
+    assert parts_of(len(sets), [*pairs[::3], *minhash.linked(sets, 0, 80, labels)]) == parts_of(len(sets), pairs)
+    cross = [(i, j) for i, j in pairs if i >= 70 > j]
+    assert parts_of(len(sets), minhash.linked(sets, 70, 80)) == parts_of(len(sets), cross)
+
+
+def test_many_near_copies_are_compared_once_each():
+    rng = np.random.default_rng(0)
+    base = np.unique(rng.integers(0, 2**63, 1000, dtype=np.uint64))
+    sets = []
+    for _ in range(2000):
+        copy = base.copy()
+        copy[rng.integers(0, 1000, 20)] = rng.integers(0, 2**63, 20, dtype=np.uint64)
+        sets.append(np.unique(copy))
+    started = time.perf_counter()
+    assert len(minhash.linked(sets, 0, 80)) == 1999
+    assert time.perf_counter() - started < 5
 
 
 def test_components_of_chains_and_stars(spark):
