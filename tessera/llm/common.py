@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from pathlib import Path
+from sys import getsizeof
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,25 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+class Kept(dict):
+    """Results kept by what they were made from, until they take more than ``room`` bytes; then ``tidy`` starts anew."""
+
+    def __init__(self, room: int):
+        super().__init__()
+        self._room = self._left = room
+
+    def add(self, key, value, size: int = 0) -> None:
+        """``size``: bytes of the value, where they are many."""
+        self[key] = value
+        self._left -= getsizeof(key) + size + 140  # entry and small value
+
+    def tidy(self) -> None:
+        """To be called where nothing kept is in use."""
+        if self._left < 0:
+            self.clear()
+            self._left = self._room
+
+
 def blobs(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """Texts as UTF-8 bytes, null as empty."""
     return [b if b is not None else b"" for b in column.cast(pa.binary()).to_pylist()]

@@ -18,11 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import blobs
+from tessera.llm.common import Kept, blobs
 
 BLANK = "▁"
-#: Distinct chunks whose ids a worker keeps, and pairs of pieces; beyond that it starts anew.
-KEPT_CHUNKS = 700_000
+#: Bytes of words and of their parts whose ids a worker keeps, and pairs of pieces; beyond that it starts anew.
+KEPT_WORDS, KEPT_PARTS = 150_000_000, 75_000_000
 KEPT_PAIRS = 1_000_000
 
 
@@ -63,8 +63,7 @@ class PieceEncoder:
         self._pairs: dict[int, bool] = {}
         self._inside = {p[i : i + 2] for p in self._score for i in range(len(p) - 1)}
         self._begin, self._end = (np.array([i], dtype="<u4").tobytes() for i in (model.bos_id(), model.eos_id()))
-        self._chunks: dict[str, bytes] = {}
-        self._words: dict[str, bytes] = {}
+        self._words, self._parts = Kept(KEPT_WORDS), Kept(KEPT_PARTS)
 
     def _ids_of(self, piece: str) -> bytes:
         ids = [self._id[piece]] if piece in self._id else [self._byte[b] for b in piece.encode()]
@@ -148,12 +147,12 @@ class PieceEncoder:
         yield text[start:]
 
     def _word(self, text: str) -> bytes:
-        known, ids = self._chunks, []
+        known, ids = self._parts, []
+        known.tidy()
         for part in self._cut(text):
             if part not in known:
-                if len(known) >= KEPT_CHUNKS // 2:
-                    known.clear()
-                known[part] = self._chunk(part)
+                made = self._chunk(part)
+                known.add(part, made, len(made))
             ids.append(known[part])
         return ids[0] if len(ids) == 1 else b"".join(ids)
 
@@ -171,19 +170,22 @@ class PieceEncoder:
             return b"".join([known[w] for w in words])
         except KeyError:
             pass
-        if len(known) + len(words) > KEPT_CHUNKS:
-            known.clear()
+        known.tidy()
+
+        def keep(w: str) -> None:
+            if w not in known:
+                made = self._word(BLANK + w)
+                known.add(w, made, len(made))
+
         if "" not in words:
             for w in words:
-                if w not in known:
-                    known[w] = self._word(BLANK + w)
+                keep(w)
             return b"".join([known[w] for w in words])
         out, blanks = [], 0
         for w in words:
             blanks += 1
             if w and blanks == 1:
-                if w not in known:
-                    known[w] = self._word(BLANK + w)
+                keep(w)
                 out.append(known[w])
             elif w:
                 out.append(self._word(BLANK * blanks + w))

@@ -12,7 +12,6 @@ runs found works on whole arrays.
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import blobs
+from tessera.llm.common import Kept, blobs
 
 #: Words that a block of documents holds (about; a longer document is a block of its own), and suffixes looked up at a time.
 BLOCK_WORDS, AT_ONCE = 200_000, 1 << 20
@@ -32,8 +31,7 @@ class WordNumbers:
     """A number for each distinct word, the same until ``tidy`` starts anew."""
 
     def __init__(self, kept_bytes: int = KEPT_BYTES):
-        self._known: dict[bytes, int] = {}
-        self._bytes, self._kept_bytes = 0, kept_bytes
+        self._known = Kept(kept_bytes)
 
     def of(self, words: list[bytes]) -> np.ndarray:
         known = self._known
@@ -42,14 +40,11 @@ class WordNumbers:
         except KeyError:
             for w in words:
                 if w not in known:
-                    known[w] = len(known)
-                    self._bytes += sys.getsizeof(w) + 120
+                    known.add(w, len(known))
             return np.fromiter([known[w] for w in words], np.int64, len(words))
 
     def tidy(self) -> None:
-        if self._bytes > self._kept_bytes:
-            self._known.clear()
-            self._bytes = 0
+        self._known.tidy()
 
 
 def _starts_of_groups(keys: np.ndarray) -> np.ndarray:

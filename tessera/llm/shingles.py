@@ -5,8 +5,10 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-#: Distinct words whose hashes a worker keeps; beyond that it starts anew.
-KEPT_WORDS = 1_000_000
+from tessera.llm.common import Kept
+
+#: Bytes of words whose hashes a worker keeps; beyond that it starts anew.
+KEPT_BYTES = 100_000_000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -21,20 +23,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class WordHashes:
     """64-bit hashes of words, kept as long as there is room."""
 
-    def __init__(self, kept: int = KEPT_WORDS):
-        self._known: dict[bytes, int] = {}
-        self._kept = kept
+    def __init__(self, kept_bytes: int = KEPT_BYTES):
+        self._known = Kept(kept_bytes)
 
     def of(self, words: list[bytes]) -> np.ndarray:
         known = self._known
         try:
             return np.fromiter([known[w] for w in words], np.uint64, len(words))
         except KeyError:
-            if len(known) + len(words) > self._kept:
-                known.clear()
+            known.tidy()
             for w in words:
                 if w not in known:
-                    known[w] = xxhash.xxh3_64_intdigest(w)
+                    known.add(w, xxhash.xxh3_64_intdigest(w))
             return np.fromiter([known[w] for w in words], np.uint64, len(words))
 
 

@@ -14,10 +14,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import blobs
+from tessera.llm.common import Kept, blobs
 
-#: Distinct words, and pieces of words, whose ids a worker keeps; beyond that it starts anew.
-KEPT_WORDS, KEPT_PIECES = 500_000, 600_000
+#: Bytes of words, and of pieces of words, whose ids a worker keeps; beyond that it starts anew.
+KEPT_WORDS, KEPT_PIECES = 110_000_000, 110_000_000
 
 _SMALL = [chr(c) for c in range(0x250)]
 _PRINTABLE = re.compile("[!-~]*")
@@ -54,8 +54,7 @@ class WordEncoder:
             pattern = pattern.replace(name, chars)
         self._pieces_of = re.compile(pattern).findall
         self._model = self._tokenizer.model
-        self._words: dict[str, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
+        self._words, self._pieces = Kept(KEPT_WORDS), Kept(KEPT_PIECES)
 
     def _piece(self, piece: str) -> bytes:
         merge = self._model.tokenize
@@ -67,11 +66,11 @@ class WordEncoder:
     def _word(self, word: str) -> bytes:
         """Ids of a word in lower case."""
         known, ids = self._pieces, []
+        known.tidy()
         for piece in self._pieces_of(word):
             if piece not in known:
-                if len(known) >= KEPT_PIECES:
-                    known.clear()
-                known[piece] = self._piece(piece)
+                made = self._piece(piece)
+                known.add(piece, made, len(made))
             ids.append(known[piece])
         return ids[0] if len(ids) == 1 else b"".join(ids)
 
@@ -92,11 +91,11 @@ class WordEncoder:
         try:
             return b"".join([known[w] for w in words])
         except KeyError:
-            if len(known) + len(words) > KEPT_WORDS:
-                known.clear()
+            known.tidy()
             for w in words:
                 if w not in known:
-                    known[w] = self._word(w)
+                    made = self._word(w)
+                    known.add(w, made, len(made))
             return b"".join([known[w] for w in words])
 
 
