@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera import config
 from tessera import functions as fn
+from tessera.operators import ranges
 from tessera.operators.objects import OBJECT_KEY, Facts, matching, people_rows, span_names
 
 REQUIRED = config.OBJECT.required()
@@ -133,7 +134,7 @@ def object_entities(facts: Facts, within: DataFrame | None = None) -> DataFrame:
 
 
 def _spans(facts: Facts, within: DataFrame | None) -> DataFrame:
-    return Facts(facts.records, _semi(facts.authored, within), facts.person).name_spans()
+    return Facts(lambda: facts.records, lambda: _semi(facts.authored, within), lambda: facts.person).name_spans()
 
 
 def to_objects(facts: Facts, within: DataFrame | None = None) -> DataFrame:
@@ -176,20 +177,22 @@ def nest_authors(flat: DataFrame, list_rows: int = 100_000) -> DataFrame:
     """One row per object and ``part`` with ``authors``, an array of ``(id, name)`` in order of name.
 
     A part holds ``list_rows`` authors, the last one of an object the rest: read in order of
-    ``part``, the lists are the whole list. An object without authors has one empty part.
+    ``part``, the lists are the whole list. An object without authors has one empty part. Authors are numbered within
+    stretches of an object's order, which then count on from each other, so no object has to fit a task.
     """
     columns = list(config.OBJECT_COLUMNS)
     by_name = [F.col(c).asc_nulls_last() for c in reversed(config.AUTHOR_COLUMNS)]
-    # Counting along a sorted stretch needs no more memory for a long one.
-    place = F.row_number().over(Window.partitionBy("identifier").orderBy(*by_name))
-    placed = flat.withColumn("part", F.floor((place - 1) / list_rows).cast("int"))
+    rows = ranges.in_stretches(flat, "identifier", by_name)
+    per_stretch = rows.groupBy("identifier", ranges.STRETCH).agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(Window.partitionBy("identifier", ranges.STRETCH).orderBy(*by_name))
+    placed = ranges.beside(rows.withColumn("_place", place), ranges.rows_before(per_stretch, "identifier"), "identifier")
+    number = F.coalesce("_before", F.lit(0)) + F.col("_place") - 1
+    placed = placed.withColumn("part", F.floor(number / list_rows).cast("int"))
     author = F.struct(F.col("p_name").alias("name"), F.col("p_identifier").alias("id"))
     listed = F.array_sort(F.collect_list(F.when(F.col("p_identifier").isNotNull(), author)))
     authors = F.transform(listed, lambda a: F.struct(a["id"].alias("id"), a["name"].alias("name")))
     firsts = [F.first(c).alias(c) for c in config.OBJECT_VALUES]
-    # An exchange of its own: otherwise the grouping would reuse the layout by identifier alone.
-    spread = placed.repartition("identifier", "part")
-    nested = spread.groupBy("identifier", "part").agg(*firsts, authors.alias("authors"))
+    nested = placed.groupBy("identifier", "part").agg(*firsts, authors.alias("authors"))
     return nested.select(*columns, "authors", "part")
 
 
@@ -210,7 +213,7 @@ def entity_by_id(facts: Facts, identifiers) -> DataFrame:
     known only through invalid rows has no row at all.
     """
     asked = matching("identifier", identifiers)
-    described = Facts(asked(facts.records), asked(facts.authored), facts.person)
+    described = Facts(lambda: asked(facts.records), lambda: asked(facts.authored), lambda: facts.person)
     people = to_people(asked(people_rows(facts)))
     people = people.join(described.records.select("identifier").distinct(), "identifier", "left_anti")
     no_value = [F.lit(None).cast("string").alias(c) for c in config.OBJECT_VALUES]
@@ -271,32 +274,20 @@ def order_people(people: DataFrame) -> DataFrame:
 # -- the row-level steps --------------------------------------------------------------------------
 
 
-def backfill(
-    rows: DataFrame, key: str, order: list[str], columns: list[str], letters: int = 2
-) -> DataFrame:
+def backfill(rows: DataFrame, key: str, order: list[str], columns: list[str]) -> DataFrame:
     """Fill nulls from the nearest later row of the same key, later meaning ``order``, nulls last.
 
-    The first column of ``order`` is text. Each key is cut into stretches that share its first
-    ``letters`` letters, which stand next to each other in the order. Rows are filled within their
-    stretch, and then from what the stretches after it offer, of which a key has one row each. So the rows of
-    one key spread over tasks, whatever their number.
+    Rows are filled within stretches of their key's order, and then from what later stretches offer. The rows of one key spread
+    over tasks, whatever their number and their values, as long as they differ in ``order``.
     """
-    stretch = F.struct(F.col(order[0]).isNull().alias("none"), F.substring(order[0], 1, letters).alias("start"))
-    spread = rows.withColumn("_stretch", stretch)
-    within = _fill(spread, [key, "_stretch"], order, columns)
+    by_order = [F.col(c).asc_nulls_last() for c in order]
+    spread = ranges.in_stretches(rows, key, by_order)
     place = F.struct(*[p for c in order for p in (F.col(c).isNull(), F.col(c))])
-    offers = spread.groupBy(key, "_stretch").agg(
+    offers = spread.groupBy(key, ranges.STRETCH).agg(
         *[F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in columns]
     )
-    later = Window.partitionBy(key).orderBy(F.col("_stretch").desc())
-    before_this = later.rowsBetween(Window.unboundedPreceding, -1)
-    carried = offers.select(
-        F.col(key).alias("_key"),
-        F.col("_stretch").alias("_of"),
-        *[F.last(c, ignorenulls=True).over(before_this).alias(f"_next_{c}") for c in columns],
-    )
-    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_stretch").eqNullSafe(F.col("_of"))
-    return within.join(carried, same, "left").select(
+    within = _fill(spread, [key, ranges.STRETCH], order, columns)
+    return ranges.beside(within, ranges.from_later(offers, key, columns), key).select(
         *[
             F.coalesce(c, f"_next_{c}").alias(c) if c in columns else F.col(c)
             for c in rows.columns

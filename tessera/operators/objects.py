@@ -9,9 +9,7 @@ Facts are three sets, each distinct within its source:
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass
-from functools import reduce
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,21 +22,45 @@ PERSON_KEY = ["source", "p_identifier"]
 FACT_COLUMNS = ["source", "subject", "predicate", "object"]
 
 
-@dataclass(frozen=True)
+Table = DataFrame | Callable[[], DataFrame]
+
+
 class Facts:
-    records: DataFrame
-    authored: DataFrame
-    person: DataFrame
+    """The three sets, each made when it is first asked for: a query pays for the tables that it reads."""
+
+    def __init__(self, records: Table, authored: Table, person: Table):
+        self._tables: dict[str, Table] = {"records": records, "authored": authored, "person": person}
+
+    def _table(self, name: str) -> DataFrame:
+        if not isinstance(self._tables[name], DataFrame):
+            self._tables[name] = self._tables[name]()
+        return self._tables[name]
+
+    @property
+    def records(self) -> DataFrame:
+        return self._table("records")
+
+    @property
+    def authored(self) -> DataFrame:
+        return self._table("authored")
+
+    @property
+    def person(self) -> DataFrame:
+        return self._table("person")
+
+    def map(self, change: Callable[[DataFrame], DataFrame]) -> Facts:
+        """The same change to each table."""
+        return Facts(lambda: change(self.records), lambda: change(self.authored), lambda: change(self.person))
 
     def union(self, other: Facts) -> Facts:
         return Facts(
-            self.records.unionByName(other.records),
-            self.authored.unionByName(other.authored),
-            self.person.unionByName(other.person),
+            lambda: self.records.unionByName(other.records),
+            lambda: self.authored.unionByName(other.authored),
+            lambda: self.person.unionByName(other.person),
         )
 
     def distinct(self) -> Facts:
-        return Facts(self.records.distinct(), self.authored.distinct(), self.person.distinct())
+        return self.map(lambda rows: rows.distinct())
 
     def links(self) -> DataFrame:
         """Who made what, with every name the source knows for the person.
@@ -60,16 +82,14 @@ class Facts:
         """The facts about some objects, named by ``identifier`` or ``source, identifier``."""
         on = [c for c in OBJECT_KEY if c in objects.columns]
         return Facts(
-            self.records.join(objects, on, "left_semi"),
-            self.authored.join(objects, on, "left_semi"),
-            self.person,
+            lambda: self.records.join(objects, on, "left_semi"),
+            lambda: self.authored.join(objects, on, "left_semi"),
+            lambda: self.person,
         )
 
     def where(self, condition: Column) -> Facts:
         """The facts about the objects that meet a condition on ``source`` and ``identifier``."""
-        return Facts(
-            self.records.filter(condition), self.authored.filter(condition), self.person
-        )
+        return Facts(lambda: self.records.filter(condition), lambda: self.authored.filter(condition), lambda: self.person)
 
 
 def new_facts(found: Facts, held: Facts) -> Facts:
@@ -81,9 +101,9 @@ def new_facts(found: Facts, held: Facts) -> Facts:
         return rows.join(known, same, "left_anti")
 
     return Facts(
-        missing(found.records, held.records),
-        missing(found.authored, held.authored),
-        missing(found.person, held.person),
+        lambda: missing(found.records, held.records),
+        lambda: missing(found.authored, held.authored),
+        lambda: missing(found.person, held.person),
     )
 
 
@@ -121,14 +141,14 @@ def split_authors(cleaned: DataFrame) -> DataFrame:
     return fn.parse_authors(cells, "cell").filter(F.col("p_identifier").isNotNull())
 
 
-def facts_of(cleaned: DataFrame) -> Facts:
-    """Facts of rows that ``clean_objects`` gave; they are read once for each of the three tables."""
-    authors = split_authors(cleaned)
+def facts_of(cleaned: DataFrame, authors: DataFrame | None = None) -> Facts:
+    """Facts of rows that ``clean_objects`` gave; ``authors`` are those of ``split_authors``, where they are at hand."""
+    authors = split_authors(cleaned) if authors is None else authors
     return Facts(
-        cleaned.select("source", *config.OBJECT_COLUMNS),
-        authors.select(*OBJECT_KEY, "p_identifier"),
-        authors.select(*PERSON_KEY, "p_name"),
-    ).distinct()
+        lambda: cleaned.select("source", *config.OBJECT_COLUMNS).distinct(),
+        lambda: authors.select(*OBJECT_KEY, "p_identifier").distinct(),
+        lambda: authors.select(*PERSON_KEY, "p_name").distinct(),
+    )
 
 
 def facts_from(raw: DataFrame) -> Facts:
@@ -157,8 +177,9 @@ def triples(facts: Facts) -> DataFrame:
         *[fact(subject, a.predicate, F.col(a.name)) for a in described],
     )
     author = fn.iri(config.PERSON.name, "p_identifier")
+    # Distinct links give distinct facts of their own, and are shorter than those.
     about_authors = long_form(
-        facts.authored, fact(subject, config.OBJECT["hasAuthor"].predicate, author)
+        facts.authored.distinct(), fact(subject, config.OBJECT["hasAuthor"].predicate, author)
     )
     about_people = long_form(
         facts.person,
@@ -166,7 +187,7 @@ def triples(facts: Facts) -> DataFrame:
         fact(author, config.PERSON["identifier"].predicate, F.col("p_identifier")),
         fact(author, config.PERSON["name"].predicate, F.coalesce("p_name", F.lit(""))),
     )
-    return about_objects.unionByName(about_authors).unionByName(about_people).distinct()
+    return about_objects.unionByName(about_people).distinct().unionByName(about_authors)
 
 
 # -- views of one or many sources -----------------------------------------------------------------
@@ -175,52 +196,54 @@ def triples(facts: Facts) -> DataFrame:
 def object_values(records: DataFrame) -> DataFrame:
     """One row per combination of the values a source holds for an object.
 
-    Objects whose values agree need one aggregation. Only those with conflicting values are
-    joined attribute by attribute, on their key.
+    One aggregation: the sets it collects are as long as values conflict, and never longer than the rows that they give.
     """
-    bounds = [F.min(c).alias(f"min_{c}") for c in config.OBJECT_VALUES]
-    bounds += [F.max(c).alias(f"max_{c}") for c in config.OBJECT_VALUES]
-    summary = records.groupBy(*OBJECT_KEY).agg(*bounds)
-    differs = [
-        F.coalesce(F.col(f"min_{c}") < F.col(f"max_{c}"), F.lit(False))
-        for c in config.OBJECT_VALUES
-    ]
-    contested = reduce(Column.__or__, differs)
+    columns = ["class", *_COMBINED]
+    return _combined(records.groupBy(*OBJECT_KEY).agg(*[F.collect_set(c).alias(c) for c in columns]), [])
+
+
+_COMBINED = config.OBJECT_VALUES[1:]
 
-    agreed = summary.filter(~contested).select(
-        *OBJECT_KEY, *[F.col(f"min_{c}").alias(c) for c in config.OBJECT_VALUES]
-    )
-    disputed = records.join(summary.filter(contested).select(*OBJECT_KEY), OBJECT_KEY, "left_semi")
-    combined = disputed.select(*OBJECT_KEY, "class").distinct()
-    for name in config.OBJECT_VALUES[1:]:
-        values = disputed.select(*OBJECT_KEY, name).filter(F.col(name).isNotNull()).distinct()
-        combined = combined.join(values, OBJECT_KEY, "left")
-    return agreed.unionByName(combined)
 
+def _combined(sets: DataFrame, also: list[str]) -> DataFrame:
+    """A row per combination of one value from each set; an empty set gives null. Objects without a class have none."""
+    rows = sets.select(*OBJECT_KEY, *also, F.explode("class").alias("class"), *_COMBINED)
+    for name in _COMBINED:
+        # Almost all sets have one value at most: those need no row generator to stay one row.
+        rows = rows.withColumn(name, F.explode(F.when(F.size(name) > 0, F.col(name)).otherwise(F.array(F.lit(None).cast("string")))))
+    return rows.select(*OBJECT_KEY, *also, *config.OBJECT_VALUES)
 
-def object_rows(facts: Facts, values: DataFrame | None = None) -> DataFrame:
+
+def object_rows(facts: Facts, settled: bool = False) -> DataFrame:
     """One row per object, combination of values and author; the author is null if there is none.
 
-    ``values`` replaces the combinations of ``object_values``, say by settled conflicts.
+    ``settled`` gives one row of values per object instead: of conflicting ones the smallest.
 
-    The two inner and anti joins give what one left join would, but either side of the inner join
-    can be split where an object has very many authors.
+    Records and links are aggregated together, so that an object knows whether it has authors. Those that have are met with
+    them by an inner join, either side of which can be split where an object has very many.
     """
-    values = object_values(facts.records) if values is None else values
     columns = ["source", *config.OBJECT_COLUMNS, *config.AUTHOR_COLUMNS]
-    with_author = facts.links().join(values, OBJECT_KEY, "inner").select(*columns)
-    known = facts.authored.select(*OBJECT_KEY).distinct()
-    without = values.join(known, OBJECT_KEY, "left_anti")
-    for name in config.AUTHOR_COLUMNS:
-        without = without.withColumn(name, F.lit(None).cast("string"))
-    return with_author.unionByName(without.select(*columns))
+    described = facts.records.select(*OBJECT_KEY, *config.OBJECT_VALUES, F.lit(False).alias("authored"))
+    nothing = [F.lit(None).cast("string").alias(c) for c in config.OBJECT_VALUES]
+    linked = facts.authored.select(*OBJECT_KEY, *nothing, F.lit(True).alias("authored"))
+    gather = F.min if settled else F.collect_set
+    known = [gather(c).alias(c) for c in config.OBJECT_VALUES]
+    # Only an object with a record has a class.
+    objects = described.unionByName(linked).groupBy(*OBJECT_KEY).agg(*known, F.max("authored").alias("authored"))
+    values = objects.filter(F.col("class").isNotNull()) if settled else _combined(objects, ["authored"])
+    with_author = facts.links().join(values.filter("authored"), OBJECT_KEY, "inner").select(*columns)
+    nobody = [F.lit(None).cast("string").alias(c) for c in config.AUTHOR_COLUMNS]
+    without = values.filter("not authored").select("source", *config.OBJECT_COLUMNS, *nobody)
+    return with_author.unionByName(without)
 
 
 def people_rows(facts: Facts) -> DataFrame:
     """Identifier and name of everybody, per source."""
-    return facts.person.select(
-        "source", F.col("p_identifier").alias("identifier"), F.col("p_name").alias("name")
-    )
+    return _people(facts.person)
+
+
+def _people(person: DataFrame) -> DataFrame:
+    return person.select("source", F.col("p_identifier").alias("identifier"), F.col("p_name").alias("name"))
 
 
 # -- relation filters -----------------------------------------------------------------------------
@@ -267,7 +290,7 @@ def authors_of(facts: Facts, objects) -> DataFrame:
 def people_behind(facts: Facts, objects) -> DataFrame:
     """People rows for the authors of some objects, once each."""
     found = matching("identifier", objects)(facts.authored).select(*PERSON_KEY).distinct()
-    return people_rows(Facts(facts.records, facts.authored, facts.person.join(found, PERSON_KEY, "left_semi")))
+    return _people(facts.person.join(found, PERSON_KEY, "left_semi"))
 
 
 def _with_attribute(facts: Facts, name: str, values) -> DataFrame:

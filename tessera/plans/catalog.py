@@ -410,7 +410,7 @@ def e3_distinct_keys(spark, sf):
 
 def _settled_rows(spark: SparkSession, sf: str) -> DataFrame:
     facts = samples.facts(spark, sf)
-    return obj.object_rows(facts, joint.settle_conflicts(facts.records))
+    return obj.object_rows(facts, settled=True)
 
 
 def _filled_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -437,7 +437,7 @@ def f2_keep_first(spark, sf):
 
 @query
 def f2_keep_first_people(spark, sf):
-    people = obj.people_rows(samples.facts(spark, sf))
+    people = obj.people_rows(samples.people(spark, sf))
     return joint.keep_first(people, ["identifier"], ["name", "source"], F.col("name").isNotNull())
 
 
@@ -496,7 +496,7 @@ def h3_union_ids(spark, sf):
 
 @query
 def l1_people(spark, sf):
-    return joint.to_people(obj.people_rows(samples.facts(spark, sf)))
+    return joint.to_people(obj.people_rows(samples.people(spark, sf)))
 
 
 @query
@@ -512,7 +512,7 @@ def l3_activities(spark, sf):
 
 @query
 def m1_all_people(spark, sf):
-    return _mashup(spark, sf).getAllPeople()
+    return Mashup(samples.people(spark, sf), samples.activities(spark, sf), ordered=False).getAllPeople()
 
 
 @query

@@ -120,8 +120,7 @@ class QueryHandler(Handler):
 class MetadataQueryHandler(QueryHandler):
     def facts(self, source: int = 0) -> Facts:
         held = ObjectStore(SparkSession.active(), self.getDbPathOrUrl()).facts()
-        tables = (held.records, held.authored, held.person)
-        return Facts(*[table.withColumn("source", F.lit(source)) for table in tables])
+        return held.map(lambda rows: rows.withColumn("source", F.lit(source)))
 
     def getEntities(self, entityName="CHO", select_only=None, by=None, value=None) -> DataFrame:
         """Objects or people, all or those that a relation path or attribute leads to.

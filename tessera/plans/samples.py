@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.activities import activities_from, unpivot_activities
-from tessera.operators.objects import Facts
+from tessera.operators.objects import Facts, facts_from
 from tessera.sources.store import kept_facts
 
 _PART_ROWS = (
@@ -165,6 +165,12 @@ def facts(spark: SparkSession, sf_dir: str) -> Facts:
     return kept_facts(raw_objects(spark, sf_dir))
 
 
+def people(spark: SparkSession, sf_dir: str) -> Facts:
+    """Facts for queries that read the people of all sources once and nothing else: no table is written."""
+    raw = raw_objects(spark, sf_dir)
+    return Facts(lambda: facts_from(raw).records, lambda: facts_from(raw).authored, lambda: facts_from(raw).person)
+
+
 def event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events", ["event_id"])
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")

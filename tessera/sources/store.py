@@ -15,9 +15,9 @@ from pyspark.errors import AnalysisException
 
 from tessera import config
 from tessera.operators.activities import activities_from
-from tessera.operators.objects import Facts, clean_objects, facts_of, new_facts
-from tessera.session import ensure_checkpoint_dir
+from tessera.operators.objects import Facts, clean_objects, facts_of, new_facts, split_authors
 from tessera.sources.activity_json import read_activity_json
+from tessera.sources.folders import kept
 from tessera.sources.object_csv import read_object_csv
 
 # Links first: an object only shows once its record is there, so a push that was cut short and is
@@ -47,21 +47,26 @@ def _laid_out(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.repartition(*columns).sortWithinPartitions(*columns)
 
 
-def kept(rows: DataFrame, name: str) -> DataFrame:
-    """The rows, written once to the folder that all executors share, and read from there."""
-    path = f"{ensure_checkpoint_dir(rows.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def kept_facts(raw: DataFrame) -> Facts:
-    """The facts of raw object rows, which are read and cleaned once.
+    """The facts of raw object rows, each table written when it is first asked for.
 
     Views and integration read their facts several times over. On tables, each of these reads takes
-    the columns and the row groups that it needs, whatever lies behind the raw rows.
+    the columns and the row groups that it needs, whatever lies behind the raw rows. Those are read once for records and once
+    for links and names, each time only the columns that it takes.
     """
-    facts = facts_of(kept(clean_objects(raw.select("source", *config.OBJECT.names())), "cleaned"))
-    return Facts(kept(facts.records, "records"), kept(facts.authored, "authored"), kept(facts.person, "person"))
+    cleaned = clean_objects(raw.select("source", *config.OBJECT.names()))
+    authors: list[DataFrame] = []
+
+    def facts() -> Facts:
+        if not authors:
+            authors.append(kept(split_authors(cleaned), "authors"))
+        return facts_of(cleaned, authors[0])
+
+    return Facts(
+        lambda: kept(facts_of(cleaned).records, "records"),
+        lambda: kept(facts().authored, "authored"),
+        lambda: kept(facts().person, "person"),
+    )
 
 
 class ObjectStore:

@@ -9,6 +9,7 @@ from conftest import tuples
 from tessera import config
 from tessera.operators import integrate as joint
 from tessera.operators import objects as obj
+from tessera.operators import ranges
 from tessera.operators.objects import Facts
 
 VALUES = list(config.OBJECT_VALUES)
@@ -106,7 +107,7 @@ def test_objects_as_if_row_by_row(spark, seed):
 def test_row_steps_reach_the_same(spark):
     data = random_facts(random.Random(99), objects=120)
     stored = facts(spark, *data)
-    rows = obj.object_rows(stored, joint.settle_conflicts(stored.records))
+    rows = obj.object_rows(stored, settled=True)
     for c in joint.ROW_ORDER:
         rows = rows.withColumn(f"o_{c}", F.col(c))
     order = [f"o_{c}" for c in joint.ROW_ORDER]
@@ -117,25 +118,39 @@ def test_row_steps_reach_the_same(spark):
     assert tuples(authors) == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("letters", [1, 2])
-def test_backfill_across_stretches(spark, letters):
-    rng = random.Random(letters)
+@pytest.mark.parametrize("names", ["mixed", "alike", "none"])
+def test_backfill_across_stretches(spark, names):
+    rng = random.Random(len(names))
+    name = {"mixed": lambda: rng.choice([None, f"n{rng.randint(0, 40):02d}"]), "alike": lambda: f"Supplier#0000{rng.randint(0, 99)}"}
     data = [
-        (rng.choice(["hot", "hot", "warm", f"k{i}"]), rng.choice([None, f"n{rng.randint(0, 40):02d}"]), i,
+        (rng.choice(["hot", "hot", "warm", f"k{i}", None]), name.get(names, lambda: None)(), i,
          rng.choice([None, None, f"a{i}"]), rng.choice([None, f"b{i}"]))
         for i in range(400)
     ]
     rows = spark.createDataFrame(data, "k string, name string, i int, a string, b string")
     expected, later = [], {}
-    for k, name, i, a, b in sorted(data, key=lambda r: (r[0], r[1] is None, r[1] or "", r[2]), reverse=True):
+    for k, name, i, a, b in sorted(data, key=lambda r: (r[0] or "", r[1] is None, r[1] or "", r[2]), reverse=True):
         seen = later.setdefault(k, [None, None])
         seen[:] = [new if new is not None else old for new, old in zip((a, b), seen, strict=True)]
         expected.append((k, name, i, *seen))
-    filled = joint.backfill(rows, "k", ["name", "i"], ["a", "b"], letters=letters)
+    filled = joint.backfill(rows, "k", ["name", "i"], ["a", "b"])
     assert tuples(filled) == sorted(expected, key=repr)
     assert tuples(filled) != tuples(rows)
 
 
+@pytest.mark.parametrize("name", ["concat('Supplier#', lpad(id, 9, '0'))", "cast(null as string)"])
+def test_one_key_goes_over_all_stretches(spark, name):
+    rows = spark.range(40_000).selectExpr("'hot' as k", f"{name} as name", "id as i")
+    placed = ranges.in_stretches(rows, "k", [F.col("name").asc_nulls_last(), F.col("i").asc_nulls_last()], stretches=8)
+    sizes = [r["count"] for r in placed.groupBy(ranges.STRETCH).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 40_000 / 8
+
+
+def test_a_key_in_one_stretch_has_nothing_to_carry(spark):
+    rows = spark.createDataFrame([("a", 0, 1), ("b", 0, 5), ("b", 1, 7), (None, 1, 2), (None, 2, 3)], f"k string, {ranges.STRETCH} int, n int")
+    assert tuples(ranges.rows_before(rows, "k")) == [("b", 0, 0), ("b", 1, 5), (None, 1, 0), (None, 2, 2)]
+
+
 def flat_objects(spark, counts):
     rows = [
         (f"o{i}", "Map", "t", "w", "p", None, f"a{j}" if n else None, f"n{n - j:04d}" if n else None)
@@ -162,6 +177,23 @@ def test_a_long_list_of_authors_is_continued(spark):
     assert [name for _, names in parts for name in names] == [f"n{j:04d}" for j in range(1, 451)]
 
 
+def test_very_many_authors_of_one_object(spark):
+    """A million authors are numbered in several tasks, and their parts make up the sorted list."""
+    n = 1_000_000
+    values = [f"'{v}' as {c}" for c, v in zip(VALUES, ("Map", "t", "w", "p", "d"), strict=True)]
+    flat = spark.range(n, numPartitions=8).selectExpr(
+        "'o' as identifier", *values, "concat('a', id) as p_identifier", f"lpad((id * 7919) % {n}, 7, '0') as p_name"
+    )
+    nested = joint.nest_authors(flat, list_rows=150_000).select(
+        "part", F.size("authors").alias("n"), F.col("authors")[0]["name"].alias("first"), F.element_at("authors", -1)["name"].alias("last"),
+        (F.array_sort("authors.name") == F.col("authors.name")).alias("ordered"),
+    )
+    parts = [tuple(r) for r in nested.orderBy("part").collect()]
+    assert parts == [
+        (k, min(150_000, n - k * 150_000), f"{k * 150_000:07d}", f"{min(n, (k + 1) * 150_000) - 1:07d}", True) for k in range(7)
+    ]
+
+
 def test_people_take_the_smallest_name(spark):
     rows = spark.createDataFrame(
         [("p", None), ("p", "b"), ("p", "a"), ("q", None)], "identifier string, name string"
