@@ -19,6 +19,8 @@ from tessera.operators.objects import Facts
 from tessera.plans import samples
 from tessera.plans.mashup import Mashup, union_facts
 from tessera.sources.activity_json import activities_from_documents
+from tessera.sources.folders import shared_path
+from tessera.sources.store import ObjectStore, ProcessStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,11 +69,21 @@ def a3_flatten_activities(spark, sf):
     return _bag(_text(samples.raw_activities(spark, sf)))
 
 
+def _pushed(spark: SparkSession, *pushes: DataFrame) -> Facts:
+    """Raw object rows pushed one after the other, each source into a store of its own, and read from there."""
+    held = []
+    for source in samples.OBJECT_SOURCES:
+        store = ObjectStore(spark, shared_path(spark, f"objects-{source}"), buckets=16)
+        for raw in pushes:
+            store.push(raw.filter(F.col("source") == source))
+        held.append(store.facts().map(lambda rows, source=source: rows.withColumn("source", F.lit(source))))
+    return union_facts(held)
+
+
 @query
 def a4_metadata_push_set(spark, sf):
     """Pushing rows of which some are held already adds only what is new."""
-    held = facts_of_customers(spark, sf)
-    return _fact_rows(held.union(obj.new_facts(samples.facts(spark, sf), held)))
+    return _fact_rows(_pushed(spark, samples.raw_customers(spark, sf), samples.raw_objects(spark, sf)))
 
 
 def _fact_rows(facts: Facts) -> DataFrame:
@@ -85,15 +97,17 @@ def _fact_rows(facts: Facts) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def facts_of_customers(spark: SparkSession, sf: str) -> Facts:
-    return obj.facts_from(samples.raw_customers(spark, sf))
-
-
 @query
 def a5_process_push_bag(spark, sf):
-    """Pushing the same activities again doubles them."""
-    stored = samples.activities(spark, sf)
-    return _bag(_text(stored.unionByName(stored)))
+    """Pushing the same activities again doubles them; each source has a store of its own."""
+    raw = samples.raw_activities(spark, sf)
+    parts = []
+    for source in samples.ACTIVITY_SOURCES:
+        store = ProcessStore(spark, shared_path(spark, f"activities-{source}"))
+        for _ in range(2):
+            store.push(raw.filter(F.col("source") == source))
+        parts.append(store.activities().withColumn("source", F.lit(source)))
+    return _bag(_text(parts[0].unionByName(parts[1]).select("source", *config.ACTIVITY_COLUMNS)))
 
 
 @query
@@ -470,11 +484,8 @@ def g4_first_entity(spark, sf):
 
 @query
 def h1_union_sources(spark, sf):
-    """People of sources that are read apart."""
-    facts = samples.facts(spark, sf)
-    tables = (facts.records, facts.authored, facts.person)
-    apart = [Facts(*[t.filter(F.col("source") == i) for t in tables]) for i in (1, 2, 3)]
-    return _bag(obj.people_rows(union_facts(apart)).select("identifier", "name"))
+    """People of sources that are stored apart."""
+    return _bag(obj.people_rows(_pushed(spark, samples.raw_objects(spark, sf))).select("identifier", "name"))
 
 
 @query

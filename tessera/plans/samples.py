@@ -18,6 +18,8 @@ from tessera.operators.activities import activities_from, unpivot_activities
 from tessera.operators.objects import Facts, facts_from
 from tessera.sources.store import kept_facts
 
+OBJECT_SOURCES, ACTIVITY_SOURCES = (1, 2, 3), (1, 2)
+
 _PART_ROWS = (
     "CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS source",
     'CAST(l_partkey AS STRING) AS identifier',

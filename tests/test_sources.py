@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 
 from conftest import tuples
 from tessera.operators import activities as act
+from tessera.operators.objects import clean_objects, facts_of
+from tessera.sources import filters
 from tessera.sources.activity_json import read_activity_json
+from tessera.sources.log import CommitLog
 from tessera.sources.object_csv import read_object_csv
 from tessera.sources.store import ObjectStore, ProcessStore
 from tessera.streaming.landing import follow_activities, follow_objects
@@ -185,3 +188,117 @@ def test_a_single_document_is_an_array_of_one(spark, tmp_path):
 def test_what_is_not_json_fails(spark, tmp_path, text):
     with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
         read_activity_json(spark, write(tmp_path / "p.json", text)).collect()
+
+
+# -- pushes that are whole or not there -----------------------------------------------------------
+
+
+def held(store):
+    facts = store.facts()
+    return [tuples(getattr(facts, name)) for name in ("records", "authored", "person")]
+
+
+def test_a_push_that_ends_half_way_leaves_the_state_before(spark, tmp_path, monkeypatch):
+    store = ObjectStore(spark, str(tmp_path / "store"), buckets=4)
+    store.push_csv(objects_file(tmp_path, "a.csv", "1,Map,t,,Doe (V:1),w,p"))
+    before = held(store)
+    second = objects_file(tmp_path, "b.csv", "2,Map,t2,,Roe (V:2),w,p")
+
+    def broken(version, segments):
+        raise RuntimeError("the driver is gone")
+
+    monkeypatch.setattr(store, "_commit", broken)
+    with pytest.raises(RuntimeError):
+        store.push_csv(second)
+    other = ObjectStore(spark, str(tmp_path / "store"), buckets=4)
+    assert held(other) == before and before[0] == [("1", "Map", "t", "w", "p", None)]
+
+    real = filters.built
+    monkeypatch.setattr(filters, "built", lambda *_: (_ for _ in ()).throw(RuntimeError("between its writes")))
+    with pytest.raises(RuntimeError):
+        other.push_csv(second)
+    assert held(other) == before
+    monkeypatch.setattr(filters, "built", real)
+    other.push_csv(second)
+    assert [r[0] for r in held(store)[0]] == ["1", "2"]
+
+
+def test_two_pushes_at_once_leave_a_set(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    slow, quick = ObjectStore(spark, path, buckets=4), ObjectStore(spark, path, buckets=8)
+    first = objects_file(tmp_path, "a.csv", "1,Map,t,,Doe (V:1); Roe (V:2),w,p", "2,Map,u,,,w,p")
+    second = objects_file(tmp_path, "b.csv", "1,Map,t,,Doe (V:1),w,p", "3,Map,v,,,w,p")
+    commit, tried = slow._commit, []
+
+    def late(version, segments):
+        if not tried:
+            quick.push_csv(second)
+        tried.append(version)
+        return commit(version, segments)
+
+    monkeypatch.setattr(slow, "_commit", late)
+    slow.push_csv(first)
+    assert tried == [1, 2] and slow.log.versions() == [1, 2]
+    records, authored, person = held(slow)
+    assert [r[0] for r in records] == ["1", "2", "3"]
+    assert authored == [("1", "V:1"), ("1", "V:2")] and person == [("V:1", "Doe"), ("V:2", "Roe")]
+    # Nothing of the lost try is left.
+    assert len(list((tmp_path / "store" / "records").iterdir())) == 2
+    slow.compact()
+    assert len(slow._segments()[1]) == 1 and held(slow) == [records, authored, person]
+
+
+def test_only_one_of_two_commits_gets_a_version(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "log"))
+    assert log.read() == (0, None)
+    assert log.commit(1, {"a": 1}) and not log.commit(1, {"a": 2}) and log.commit(2, {"a": 3})
+    assert log.read() == (2, {"a": 3}) and log.read(1) == (1, {"a": 1})
+    assert log.versions() == [1, 2]
+
+
+def test_a_push_reads_only_buckets_that_may_hold_its_facts(spark, tmp_path, monkeypatch):
+    store = ObjectStore(spark, str(tmp_path / "store"), buckets=32)
+    lines = [f"{i},Map,t{i},,Doe (V:{i}),w,p" for i in range(500)]
+    store.push_csv(objects_file(tmp_path, "a.csv", *lines))
+    read = []
+    wanted = store.buckets_of
+    monkeypatch.setattr(store, "buckets_of", lambda *a: read.append(wanted(*a)) or read[-1])
+    store.push_csv(objects_file(tmp_path, "b.csv", "7,Map,t7,,Doe (V:7),w,p"))
+    assert {table: len(folders) for table, folders in read[-1].items()} == {"records": 1, "authored": 1, "person": 1}
+    files = store.held(facts_of_csv(store, "7,Map,t7,,Doe (V:7),w,p", tmp_path), store._segments()[1]).records.inputFiles()
+    assert len(files) == 1
+    assert store.log.versions() == [1]  # nothing new, so no version
+    fresh = [f"x{i},Map,t,,New (N:{i}),w,p" for i in range(20)]
+    store.push_csv(objects_file(tmp_path, "c.csv", *fresh))
+    assert sum(map(len, read[-1].values())) <= 6  # of 96: a key that is not there looks as if it were once in a hundred
+    assert store.facts().records.count() == 520
+    monkeypatch.setattr(ObjectStore, "ASKED", 0)  # every bucket that has any of the keys
+    store.push_csv(objects_file(tmp_path, "d.csv", *lines, *fresh))
+    assert store.facts().records.count() == 520 and store.facts().person.count() == 520
+
+
+def facts_of_csv(store, line, tmp_path):
+    raw = read_object_csv(store.spark, objects_file(tmp_path, "one.csv", line))
+    return facts_of(clean_objects(raw.withColumn("source", F.lit(0))))
+
+
+def test_a_reset_is_a_version_of_its_own(spark, tmp_path):
+    store = ProcessStore(spark, str(tmp_path / "store"))
+    path = write(tmp_path / "p.json", DOCUMENTS)
+    store.push_json(path)
+    stored = tuples(store.activities())
+    store.reset()
+    assert store.activities().count() == 0 and store.log.versions() == [1, 2]
+    store.push_json(path)
+    assert tuples(store.activities()) == stored
+
+
+def test_a_failed_process_push_is_not_there(spark, tmp_path, monkeypatch):
+    store = ProcessStore(spark, str(tmp_path / "store"))
+    path = write(tmp_path / "p.json", DOCUMENTS)
+    store.push_json(path)
+    stored = tuples(store.activities())
+    monkeypatch.setattr(store.log, "commit", lambda *_: (_ for _ in ()).throw(RuntimeError("gone")))
+    with pytest.raises(RuntimeError):
+        store.push_json(path)
+    assert tuples(ProcessStore(spark, str(tmp_path / "store")).activities()) == stored
