@@ -11,7 +11,7 @@ from tessera.sources.activity_json import read_activity_json
 from tessera.sources.log import CommitLog
 from tessera.sources.object_csv import read_object_csv
 from tessera.sources.store import ObjectStore, ProcessStore
-from tessera.streaming.landing import follow_activities, follow_objects
+from tessera.streaming.landing import fact_stream, facts_of_stream, follow_activities, follow_new_objects, follow_objects
 
 HEADER = "Key,Kind,Name,When,Who,Holder,Where\n"
 
@@ -302,3 +302,42 @@ def test_a_failed_process_push_is_not_there(spark, tmp_path, monkeypatch):
     with pytest.raises(RuntimeError):
         store.push_json(path)
     assert tuples(ProcessStore(spark, str(tmp_path / "store")).activities()) == stored
+
+
+# -- a stream that remembers its facts ------------------------------------------------------------
+
+
+def test_a_stream_remembers_its_facts_over_restarts(spark, tmp_path, monkeypatch):
+    landing, progress = tmp_path / "landing", str(tmp_path / "progress")
+    store = ObjectStore(spark, str(tmp_path / "objects"), buckets=4)
+    monkeypatch.setattr(ObjectStore, "held", lambda *_: pytest.fail("the store is read"))
+    lines = ["1,Map,t,,Doe (V:1); Roe (V:2),w,p", "1,Map,t,,Doe (V:1),w,p", "2,Map,,,broken,w,"]
+    objects_file(landing, "a.csv", *lines)
+    follow_new_objects(spark, str(landing), store, progress).awaitTermination()
+    wanted = [
+        [("1", "Map", "t", "w", "p", None), ("2", "Map", None, "w", None, None)],
+        [("1", "V:1"), ("1", "V:2")], [("V:1", "Doe"), ("V:2", "Roe")],
+    ]
+    assert held(store) == [sorted(rows, key=repr) for rows in wanted]
+    objects_file(landing, "b.csv", *lines)
+    objects_file(landing, "c.csv", *lines, "3,Map,t,,Doe (V:1),w,p")
+    follow_new_objects(spark, str(landing), store, progress).awaitTermination()
+    records, authored, person = held(store)
+    assert len(records) == 3 and len(authored) == 3 and person == [("V:1", "Doe"), ("V:2", "Roe")]
+
+    store.append(facts_of_stream(fact_stream(read_object_csv(spark, str(landing / "c.csv")))), label="x", stream=store._segments()[1][0]["stream"])
+    store.append(facts_of_stream(fact_stream(read_object_csv(spark, str(landing / "c.csv")))), label="x", stream=store._segments()[1][0]["stream"])
+    assert len([s for s in store._segments()[1] if s["label"] == "x"]) == 1  # a batch again replaces its first try
+    with pytest.raises(ValueError, match="stream"):
+        store.push_csv(str(landing / "a.csv"))
+    with pytest.raises(ValueError, match="own"):
+        store.append(facts_of_stream(fact_stream(read_object_csv(spark, str(landing / "c.csv")))), label="y", stream="another")
+
+
+def test_facts_of_a_stream_are_those_of_a_push(spark, tmp_path):
+    raw = read_object_csv(spark, objects_file(
+        tmp_path, "a.csv", "1,Map,t,,Doe (V:1); (V:2); nobody,w,p", "2,Nope,t,,Doe (V:9),w,p", ",Map,t,,Doe (V:8),w,p", "3, nautical chart ,,,,,",
+    ))
+    pushed, streamed = facts_of(clean_objects(raw.withColumn("source", F.lit(0)))), facts_of_stream(fact_stream(raw))
+    for name in ("records", "authored", "person"):
+        assert tuples(getattr(streamed, name).distinct()) == tuples(getattr(pushed, name).drop("source"))
