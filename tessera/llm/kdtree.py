@@ -1,9 +1,11 @@
 """Exact top-k search by inner product over KD-trees, one for each shard of the vectors.
 
-A shard is a bounded number of vectors. Its tree splits at the median of the widest component and keeps the tight box of each node.
+Vectors are dealt to cells by median splits of the widest component, as a bounded sample of them says, and a cell to shards of a
+bounded number of vectors. A shard's tree splits on in the same way and keeps the tight box of each node.
 No inner product of a query with a vector in a box exceeds the sum of its largest products with the box's sides. A query
 visits nodes by that bound, best first, and stops at a bound below its k-th score so far. It starts
-with the k-th score that it reached in its own shard, which is searched first, and takes that to all others.
+with the k-th score that it reached in its own shard, which is searched first, and goes to the shards of those cells alone whose tight
+box allows as much.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import written
 
 LEAF = 256
-#: Vectors of a shard, about.
-SHARD_VECTORS = 8_000
+#: Vectors of a shard, about; most cells; vectors of one length that say where cells split.
+SHARD_VECTORS, CELLS, SAMPLE = 8_000, 512, 20_000
 
 
 class KDTree:
@@ -44,7 +46,7 @@ class KDTree:
         self.high.append(part.max(axis=0))
         self.children.append(None)
         self.rows.append(rows)
-        if len(rows) > self._leaf:
+        if len(rows) > self._leaf and part.shape[1]:
             widest = int((self.high[me] - self.low[me]).argmax())
             half = len(rows) // 2
             order = np.argpartition(part[:, widest], half)  # splits equal values as well
@@ -103,6 +105,8 @@ def _found(rows: DataFrame, k: int) -> DataFrame:
                     vectors.append(vector)
                     ids.append(numbers[i])
                     continue
+                if not ids:
+                    continue
                 if tree is None:
                     tree = KDTree(np.array(vectors).reshape(len(ids), -1), np.array(ids, dtype=np.int64))
                     vectors = []
@@ -130,35 +134,145 @@ def whole_numbers(vectors: DataFrame, column: str, scale: int) -> DataFrame:
     return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
 
+class Cells:
+    """A complete binary tree of median splits; its leaves are the cells."""
+
+    def __init__(self, sample: np.ndarray, wanted: int):
+        self.depth = max(0, int(wanted - 1).bit_length()) if sample.shape[1] else 0
+        self.sides = np.zeros(2**self.depth - 1, dtype=np.int64)
+        self.cuts = np.full(2**self.depth - 1, np.inf)
+        parts = [sample]
+        for node in range(len(self.sides)):
+            part = parts[node]
+            if len(part):
+                self.sides[node] = int((part.max(axis=0) - part.min(axis=0)).argmax())
+                self.cuts[node] = np.median(part[:, self.sides[node]])
+            right = part[:, self.sides[node]] >= self.cuts[node]
+            parts += [part[~right], part[right]]
+
+    def of(self, vectors: np.ndarray) -> np.ndarray:
+        node, rows = np.zeros(len(vectors), dtype=np.int64), np.arange(len(vectors))
+        for _ in range(self.depth):
+            node = 2 * node + 1 + (vectors[rows, self.sides[node]] >= self.cuts[node])
+        return node - len(self.sides)
+
+
+def _by_size(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places and vectors (as rows of one array) of those of each length."""
+    sizes = np.asarray(column.value_lengths())
+    for size in np.unique(sizes):
+        at = np.flatnonzero(sizes == size)
+        part = column.take(pa.array(at))
+        yield at, np.asarray(part.flatten(), dtype=np.float64).reshape(len(at), size)
+
+
+def _in_cells(rows: DataFrame, shard_vectors: int) -> DataFrame:
+    """vec_id, vector, size and cell; written. Lengths with few vectors are one cell each."""
+    cells = {}
+    counts = rows.groupBy(F.size("vector").alias("size")).agg(F.count(F.lit(1)).alias("n"))
+    # Few lengths have so many vectors: at most one for each that many rows.
+    for size, n in counts.filter(F.col("n") > shard_vectors).orderBy(F.desc("n")).limit(16).collect():
+        of_size = rows.filter(F.size("vector") == size)
+        sample = of_size.orderBy(F.xxhash64("vec_id")).limit(SAMPLE).select("vector").collect()
+        cells[size] = Cells(np.array([r["vector"] for r in sample], dtype=np.float64).reshape(len(sample), size), min(CELLS, -(-n // shard_vectors)))
+    schema = pa.schema([("vec_id", pa.int64()), ("vector", pa.list_(pa.int64())), ("size", pa.int32()), ("cell", pa.int32())])
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.zeros(batch.num_rows, dtype=np.int32)
+            for at, vectors in _by_size(batch.column(1)):
+                if (tree := cells.get(vectors.shape[1])) is not None:
+                    found[at] = tree.of(vectors)
+            sizes = batch.column(1).value_lengths()
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(schema.types[1]), sizes, pa.array(found)], schema=schema)
+
+    return written(rows.mapInArrow(place, "vec_id long, vector array<long>, size int, cell int"), "kd-cells")
+
+
+def _boxes(placed: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each length its cells with their tight boxes: numbers, lower and upper sides. At most ``CELLS`` for each of a few lengths."""
+    schema = pa.schema([("size", pa.int32()), ("cell", pa.int32()), ("low", pa.list_(pa.float64())), ("high", pa.list_(pa.float64()))])
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            cells = np.asarray(batch.column(1))
+            for at, vectors in _by_size(batch.column(0)):
+                for cell in np.unique(cells[at]):
+                    part = vectors[cells[at] == cell]
+                    low, high = part.min(axis=0), part.max(axis=0)
+                    key = (vectors.shape[1], int(cell))
+                    if key in found:
+                        low, high = np.minimum(low, found[key][0]), np.maximum(high, found[key][1])
+                    found[key] = (low, high)
+        if found:
+            columns = [[k[0] for k in found], [k[1] for k in found], [v[0] for v in found.values()], [v[1] for v in found.values()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+
+    # Only lengths that have several cells need boxes.
+    several = placed.groupBy("size").agg(F.max("cell").alias("last")).filter("last > 0").select("size")
+    parts = placed.join(several, "size", "left_semi").select("vector", "cell").mapInArrow(bound, "size int, cell int, low array<double>, high array<double>")
+    sides = parts.select("size", "cell", F.posexplode(F.arrays_zip("low", "high")).alias("place", "side"))
+    tight = sides.groupBy("size", "cell", "place").agg(F.min("side.low").alias("low"), F.max("side.high").alias("high"))
+    tight = tight.groupBy("size", "cell").agg(F.array_sort(F.collect_list(F.struct("place", "low", "high"))).alias("sides"))
+    by_size: dict[int, list] = {}
+    for r in tight.collect():
+        by_size.setdefault(r["size"], []).append((r["cell"], [s["low"] for s in r["sides"]], [s["high"] for s in r["sides"]]))
+    return {size: tuple(np.array(c) for c in zip(*cells, strict=True)) for size, cells in by_size.items()}
+
+
+def _to_search(queries: DataFrame, boxes: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]) -> DataFrame:
+    """Queries (vec_id, vector, size, home cell, number, floor) with the cells (``other``) whose box may hold a score of the floor or more."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            floors = np.array([-np.inf if f is None else f for f in batch.column(5).to_pylist()])
+            chosen: list = [[0]] * batch.num_rows
+            for at, vectors in _by_size(batch.column(1)):
+                if vectors.shape[1] in boxes:
+                    cells, low, high = boxes[vectors.shape[1]]
+                    bounds = np.maximum(vectors, 0) @ high.T + np.minimum(vectors, 0) @ low.T
+                    for k, i in enumerate(at.tolist()):
+                        chosen[i] = cells[bounds[k] >= floors[i]].tolist()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chosen, pa.list_(pa.int32()))], names=[*batch.schema.names, "cells"])
+
+    columns = "vec_id long, vector array<long>, size int, cell int, number int, floor double, cells array<int>"
+    asked = queries.select("vec_id", "vector", "size", "cell", "number", "floor").mapInArrow(choose, columns)
+    return asked.withColumn("other", F.explode("cells")).drop("cells")
+
+
 def top_k(vectors: DataFrame, column: str, is_query: Column, k: int = 20, scale: int = 64, shard_vectors: int = SHARD_VECTORS) -> DataFrame:
     """Each query's k best other vectors: query_id, rank (from 1), vec_id, score; all of them if there are fewer.
 
     Components become floor(scale * x); scores are exact integer inner products (below 2 ** 53 in size), ties go to the smaller
     vec_id. ``is_query`` is a condition on vec_id. Vectors that are null, or hold null, NaN or infinite components, take no part, nor do rows
     without vec_id; of rows with one vec_id the smallest vector counts. Vectors of another
-    length than the query's are no candidates. Any number of equal vectors may stand in a shard. No vectors give no rows.
+    length than the query's are no candidates; empty vectors are candidates of each other, with a score of 0. Any number of equal
+    vectors may stand in a cell and a shard. No vectors give no rows.
 
-    Work is queries times shards, as any exact search has it at worst; no query's candidates meet in one
-    task but the k best of each shard.
+    At worst, where boxes tell nothing apart, work is queries times shards, as any exact search has it; no query's candidates meet
+    in one task but the k best of each shard. Cells follow from at most ``SAMPLE`` vectors of a length; what they hold, and their boxes,
+    from all.
     """
-    rows = written(whole_numbers(vectors, column, scale), "kd-vectors")
-    lengths = rows.groupBy(F.size("vector").alias("size")).agg(F.count(F.lit(1)).alias("n"))
-    lengths = lengths.select("size", F.greatest(F.lit(1), F.ceil(F.col("n") / shard_vectors)).cast("int").alias("shards"))
-    placed = rows.withColumn("size", F.size("vector")).join(lengths, "size")
-    home = F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int")
-    placed = placed.withColumn("home", home)
-    shard = F.struct("size", F.col("home").alias("number"))
-    base = placed.select(shard.alias("shard"), F.lit(0).alias("query"), "vec_id", "vector", F.lit(None).cast("double").alias("floor"))
+    placed = _in_cells(written(whole_numbers(vectors, column, scale), "kd-vectors"), shard_vectors)
+    shards = F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / shard_vectors)).cast("int")
+    counts = written(placed.groupBy("size", "cell").agg(shards.alias("shards")), "kd-counts")
+    placed = placed.join(counts, ["size", "cell"]).withColumn("number", F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int"))
+    shard = F.struct("size", "cell", "number")
+    no_floor = F.lit(None).cast("double").alias("floor")
+    base = placed.select(shard.alias("shard"), F.lit(0).alias("query"), "vec_id", "vector", no_floor)
     queries = placed.filter(is_query)
-    at_home = queries.select(shard.alias("shard"), F.lit(1).alias("query"), "vec_id", "vector", F.lit(None).cast("double").alias("floor"))
+    at_home = queries.select(shard.alias("shard"), F.lit(1).alias("query"), "vec_id", "vector", no_floor)
     first = written(_found(base.unionByName(at_home), k), "kd-home")
     floors = first.groupBy(F.col("query_id").alias("vec_id")).agg(
         F.when(F.count(F.lit(1)) == k, F.min("score")).cast("double").alias("floor")
     )
-    others = queries.join(floors, "vec_id", "left").withColumn("number", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-    others = others.filter("number <> home").select(
-        F.struct("size", "number").alias("shard"), F.lit(1).alias("query"), "vec_id", "vector", "floor"
-    )
+    others = _to_search(queries.join(floors, "vec_id", "left"), _boxes(placed))
+    there = counts.select("size", F.col("cell").alias("other"), F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard_number"))
+    others = others.join(there, ["size", "other"]).filter("other <> cell or shard_number <> number").select(
+        F.struct("size", F.col("other").alias("cell"), F.col("shard_number").alias("number")).alias("shard"),
+        F.lit(1).alias("query"), "vec_id", "vector", "floor",
+    )
     found = first.unionByName(_found(base.unionByName(others), k))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)

@@ -14,6 +14,7 @@ All work on texts is column expressions. What comes to the driver are the counts
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -63,25 +64,77 @@ _ENDINGS = r"(?i)[.\])\x20](com|org|net|edu|gov|info|io|de|fr|es|uk|eu|ch|at|it|
 CONTEXT = 40
 
 
-def _found(text: Column, pattern: str, needs: Column | None) -> Column:
-    """Matches of a pattern, left to right: array of struct(start, end, found), in code points."""
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _block(items: Column) -> Column:
+    """Length of the blocks that an array is gone through by: appending to them costs about as much as to the list of them."""
+    return F.greatest(F.lit(32), F.ceil(F.sqrt(F.size(items))).cast("int"))
+
+
+def scanned(items: Column, state: Column, state_type: str, out_type: str, step: Callable[[Column, Column], Column]) -> Column:
+    """Go through an array from left to right: struct(state at the end, outs: all that ``step`` gave out on the way).
+
+    ``step`` takes the state and an item and gives struct(state, outs: array). Results are gathered in blocks, as appending copies what is
+    there already. ``items`` has to be a column, not an expression, which would be computed anew for each block.
+    """
+    kind = f"struct<state:{state_type},outs:array<{out_type}>>"
+    nothing = F.array().cast(f"array<{out_type}>")
+
+    def one(done: Column, item: Column) -> Column:
+        return _let(
+            step(done["state"], item),
+            lambda r: F.struct(r["state"].alias("state"), F.concat(done["outs"], r["outs"]).alias("outs")).cast(kind),
+        )
+
+    def block(done: Column, at: Column) -> Column:
+        part = F.slice(items, at, _block(items))
+        return _let(
+            F.aggregate(part, F.struct(done["state"].alias("state"), nothing.alias("outs")).cast(kind), one),
+            lambda r: F.struct(r["state"].alias("state"), F.array_append(done["outs"], r["outs"]).alias("outs")),
+        )
+
+    start = F.struct(state.cast(state_type).alias("state"), F.array().cast(f"array<array<{out_type}>>").alias("outs"))
+    places = F.sequence(F.lit(1), F.size(items), _block(items))
+    done = F.aggregate(places, start, block, lambda r: F.struct(r["state"].alias("state"), F.flatten(r["outs"]).alias("outs")))
+    empty = F.struct(state.cast(state_type).alias("state"), nothing.alias("outs"))
+    return F.when(F.size(items) > 0, done).otherwise(empty)
+
+
+#: A match: where it is, what it says, the text before it as far as the context goes, and the character after it.
+_MATCH = "struct<start:int,end:int,found:string,before:string,after:string>"
+
+
+def _parts(text: Column, pattern: str, needs: Column) -> Column:
+    """Matches of a pattern, left to right, each with the text between the one before and it."""
     none = F.array().cast("array<string>")
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    if needs is not None:
-        matches, gaps = F.when(needs, matches).otherwise(none), F.when(needs, gaps).otherwise(none)
-    kind = "struct<at:int,spans:array<struct<start:int,end:int,found:string>>>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,found:string>>").alias("spans")).cast(kind)
+    matches = F.when(needs, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none)
+    gaps = F.when(needs, F.split(text, pattern, -1)).otherwise(none)
+    return F.struct(matches.alias("found"), gaps.alias("gap"))
+
 
-    def add(done: Column, part: Column) -> Column:
-        at = done["at"] + F.length(part["gap"])
-        end = at + F.length(part["found"])
-        span = F.struct(at.alias("start"), end.alias("end"), part["found"].alias("found"))
-        more = F.struct(end.alias("at"), F.array_append(done["spans"], span).alias("spans"))
-        return F.when(part["found"].isNull(), done).otherwise(more)
+def _placed(parts: Column) -> Column:
+    """Parts as array of ``_MATCH``, in code points. The text itself is not looked at again: its places are far from its start."""
+    number = F.sequence(F.lit(0), F.size(parts["found"]) - 1)
 
-    parts = F.arrays_zip(matches.alias("found"), gaps.alias("gap"))
-    return F.aggregate(parts, start, add, lambda done: done["spans"])
+    def step(state: Column, i: Column) -> Column:
+        gap, found = parts["gap"][i], parts["found"][i]
+        start = state["at"] + F.length(gap)
+        end = start + F.length(found)
+        near = F.concat(state["tail"], F.right(gap, F.lit(CONTEXT)))
+        before = F.right(near, F.lit(CONTEXT))
+        following = F.coalesce(parts["gap"][i + 1], F.lit(""))
+        after = F.left(F.when(following != "", following).otherwise(F.coalesce(F.get(parts["found"], i + 1), F.lit(""))), F.lit(1))
+        values = zip(("start", "end", "found", "before", "after"), (start, end, found, before, after), strict=True)
+        span = F.struct(*[v.alias(n) for n, v in values])
+        tail = F.right(F.concat(before, F.right(found, F.lit(CONTEXT))), F.lit(CONTEXT))
+        return F.struct(F.struct(end.alias("at"), tail.alias("tail")).alias("state"), F.array(span).alias("outs"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"))
+    some = scanned(number, start, "struct<at:int,tail:string>", _MATCH, step)["outs"]
+    return F.when(F.size(parts["found"]) > 0, some).otherwise(F.array().cast(f"array<{_MATCH}>"))
 
 
 def _digits(found: Column) -> Column:
@@ -104,12 +157,10 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, 1).when(no, -1).otherwise(0)
 
 
-def _votes(kind: str, text: Column, span: Column, base: bool) -> list[Column]:
+def _votes(kind: str, span: Column, base: bool) -> list[Column]:
     """A vote of each labeler, in their order."""
     found, digits = span["found"], _digits(span["found"])
-    before = F.lower(F.substring(text, F.greatest(span["start"] - CONTEXT + 1, F.lit(1)), F.least(span["start"], F.lit(CONTEXT))))
-    last = F.substring(text, span["start"], F.when(span["start"] > 0, 1).otherwise(0))
-    following = F.substring(text, span["end"] + 1, F.lit(1))
+    before, last, following = F.lower(span["before"]), F.right(span["before"], F.lit(1)), span["after"]
     rule = _vote(_valid(kind, found), F.lit(True)) if base or kind == "card" else F.lit(0)
     if kind == "email":
         gazetteer = _vote(found.rlike(_ENDINGS), F.lit(False))
@@ -130,20 +181,24 @@ def _votes(kind: str, text: Column, span: Column, base: bool) -> list[Column]:
 
 
 def candidates(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """Add ``spans``: array of struct(start, end, kind, base, votes), base spans and other candidates; adds ``body``, the text."""
-    body = docs.select(*[F.col(f"`{c}`") for c in keep], text_or_empty(f"`{text}`").alias("body"))
+    """Add ``spans``: array of struct(start, end, kind, base, votes), base spans and other candidates."""
+    kept = [F.col(f"`{c}`") for c in keep]
+    body = docs.select(*kept, text_or_empty(f"`{text}`").alias("body"))
     digit = F.col("body").rlike("[0-9]")
     columns = []
     for kind in KINDS:
         needs = F.contains("body", F.lit(_NEEDS[kind])) if kind in _NEEDS else digit
-        columns.append(_found(F.col("body"), BASE[kind], needs).alias(f"base_{kind}"))
+        columns.append(_parts(F.col("body"), BASE[kind], needs).alias(f"base_{kind}"))
         loose = F.contains("body", F.lit(_LOOSE_NEEDS[kind])) if kind in _LOOSE_NEEDS else digit
-        columns.append(_found(F.col("body"), LOOSE[kind], loose & digit if kind != "email" else loose).alias(f"loose_{kind}"))
-    raw = computed_once(body.select("*", F.struct(*columns).alias("raw")), "raw")
+        columns.append(_parts(F.col("body"), LOOSE[kind], loose & digit if kind != "email" else loose).alias(f"loose_{kind}"))
+    raw = computed_once(body.select(*kept, F.struct(*columns).alias("raw")), "raw")
+    names = [f"{part}_{kind}" for kind in KINDS for part in ("base", "loose")]
+    placed = raw.select(*kept, F.struct(*[_placed(F.col(f"raw.{n}")).alias(n) for n in names]).alias("raw"))
+    placed = computed_once(placed, "raw")
 
     def labelled(kind: str, base: bool) -> Column:
         def one(span: Column) -> Column:
-            votes = F.array(*_votes(kind, F.col("body"), span, base))
+            votes = F.array(*_votes(kind, span, base))
             valid = _valid(kind, span["found"]) if base else F.lit(False)
             return F.struct(
                 span["start"].alias("start"), span["end"].alias("end"), F.lit(KINDS.index(kind)).alias("kind"), valid.alias("base"), votes.alias("votes")
@@ -152,7 +207,7 @@ def candidates(docs: DataFrame, keep: list[str], text: str = "text") -> DataFram
         return F.transform(F.col(f"raw.{'base' if base else 'loose'}_{kind}"), one)
 
     spans = F.concat(*[labelled(kind, base) for kind in KINDS for base in (True, False)])
-    return raw.select(*[F.col(f"`{c}`") for c in keep], "body", spans.alias("spans"))
+    return placed.select(*kept, spans.alias("spans"))
 
 
 @dataclass
@@ -217,8 +272,11 @@ def span_classifiers(found: DataFrame) -> list[list[float]]:
     return [trained(c) for c in counts]
 
 
-def _chosen(weights: list[list[float]], sure: float) -> Column:
-    """Base spans, and surer candidates that overlap none of them or of an earlier one: sorted (start, kind, end)."""
+_SPAN = "struct<start:int,other:boolean,kind:int,end:int>"
+
+
+def _with_chosen(rows: DataFrame, weights: list[list[float]], sure: float) -> DataFrame:
+    """Add ``chosen``: base spans, and surer candidates that overlap none of them or of an earlier one: sorted (start, kind, end)."""
     limit = math.log(sure / (1 - sure))
     every = F.array(*[F.array(*map(F.lit, w)) for w in weights])
 
@@ -231,16 +289,36 @@ def _chosen(weights: list[list[float]], sure: float) -> Column:
         return total
 
     def plain(span: Column) -> Column:
+        values = zip(("start", "other", "kind", "end"), (span["start"], ~span["base"], span["kind"], span["end"]), strict=True)
+        return F.struct(*[v.alias(n) for n, v in values])
+
+    sorted_spans = F.array_sort(F.transform(F.filter("spans", lambda s: s["base"] | (score(s) >= limit)), plain))
+    rows = computed_once(rows.withColumn("chosen", sorted_spans), "chosen")
+
+    def nearest(state: Column, span: Column) -> Column:
+        """From the right: where the next base span starts."""
+        fits = ~span["other"] | (span["end"] <= state)
+        kept = F.when(fits, F.array(span)).otherwise(F.array().cast(f"array<{_SPAN}>"))
+        return F.struct(F.when(span["other"], state).otherwise(span["start"]).alias("state"), kept.alias("outs"))
+
+    def first(state: Column, span: Column) -> Column:
+        """From the left: up to where what is taken already reaches."""
+        fits = ~span["other"] | (span["start"] >= state)
+        kept = F.when(fits, F.array(span)).otherwise(F.array().cast(f"array<{_SPAN}>"))
+        return F.struct(F.when(fits, F.greatest(state, span["end"])).otherwise(state).alias("state"), kept.alias("outs"))
+
+    others = F.exists("chosen", lambda s: s["other"])
+    rows = rows.withColumn("chosen", F.when(others, F.reverse("chosen")).otherwise(F.col("chosen")))
+    rows = computed_once(rows.withColumn("others", others), "chosen", "others")
+    clear = scanned(F.col("chosen"), F.lit(2**31 - 1), "int", _SPAN, nearest)["outs"]
+    rows = computed_once(rows.withColumn("chosen", F.when(F.col("others"), F.reverse(clear)).otherwise(F.col("chosen"))), "chosen")
+    taken = scanned(F.col("chosen"), F.lit(0), "int", _SPAN, first)["outs"]
+    ends = F.when(F.col("others"), taken).otherwise(F.col("chosen"))
+
+    def listed(span: Column) -> Column:
         return F.struct(span["start"].alias("start"), span["kind"].alias("kind"), span["end"].alias("end"))
 
-    base = F.transform(F.filter("spans", lambda s: s["base"]), plain)
-    others = F.transform(F.filter("spans", lambda s: ~s["base"] & (score(s) >= limit)), plain)
-
-    def add(done: Column, span: Column) -> Column:
-        meets = F.exists(done, lambda d: (d["start"] < span["end"]) & (span["start"] < d["end"]))
-        return F.when(meets, done).otherwise(F.array_append(done, span))
-
-    return F.array_sort(F.aggregate(F.array_sort(others), base, add))
+    return computed_once(rows.withColumn("chosen", F.array_sort(F.transform(ends, listed))).drop("others"), "chosen")
 
 
 def _base_of(kind: int):
@@ -260,7 +338,7 @@ def personal_data(docs: DataFrame, sure: float = SURE) -> DataFrame:
     doc_id. No documents give no rows.
     """
     found = written(candidates(docs.select("doc_id", "text"), ["doc_id"]).select("doc_id", "spans"), "pii-candidates")
-    chosen = found.select("doc_id", "spans", _chosen(span_classifiers(found.filter(F.size("spans") > 0)), sure).alias("chosen"))
+    chosen = _with_chosen(found, span_classifiers(found.filter(F.size("spans") > 0)), sure)
     base = F.array_sort(
         F.transform(
             F.filter("spans", lambda s: s["base"]),
@@ -274,22 +352,41 @@ def personal_data(docs: DataFrame, sure: float = SURE) -> DataFrame:
 def masked(docs: DataFrame, sure: float = SURE) -> DataFrame:
     """The documents with each span replaced by its kind, as ``<EMAIL>``; overlapping spans become one.
 
-    All columns and rows stay; a null text becomes empty.
+    All columns and rows stay, repeated rows and rows without an id too; a null text becomes empty.
     """
     names = docs.columns
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("text"))
-    found = candidates(row, ["row"])
-    weights = span_classifiers(found)
+    found = written(candidates(row, ["row"]), "pii-spans")  # once for the classifiers and once for the masks
+    rows = _with_chosen(found, span_classifiers(found.filter(F.size("spans") > 0)), sure)
     tags = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    piece = "struct<before:int,start:int,kind:int>"
 
-    def add(done: Column, span: Column) -> Column:
-        fresh = F.substring(F.col("body"), done["at"] + 1, F.greatest(span["start"] - done["at"], F.lit(0)))
-        parts = F.when(span["start"] < done["at"], done["parts"]).otherwise(F.concat(done["parts"], F.array(fresh, tags[span["kind"]])))
-        return F.struct(F.greatest(done["at"], span["end"]).alias("at"), parts.alias("parts"))
+    def cut(state: Column, span: Column) -> Column:
+        """What is left of the text up to a span that does not overlap the one before."""
+        fresh = F.struct(state.alias("before"), span["start"].alias("start"), span["kind"].alias("kind"))
+        outs = F.when(span["start"] >= state, F.array(fresh)).otherwise(F.array().cast(f"array<{piece}>"))
+        return F.struct(F.greatest(state, span["end"]).alias("state"), outs.alias("outs"))
 
-    rest = F.substring(F.col("body"), F.col("cut.at") + 1, F.length("body"))
-    cut = found.select("row", "body", F.aggregate(_chosen(weights, sure), start, add).alias("cut"))
-    text = F.when(F.col("cut.at") == 0, F.col("body")).otherwise(F.concat(F.array_join("cut.parts", ""), rest))
-    done = cut.select("row", text.alias("masked_text"))
+    rows = rows.select("row", text_or_empty("row.text").alias("body"), scanned(F.col("chosen"), F.lit(0), "int", piece, cut).alias("cut"))
+    rows = computed_once(rows.select("row", "body", F.col("cut.state").alias("at"), F.col("cut.outs").alias("pieces")), "at", "pieces")
+
+    def replaced(block: Column) -> Column:
+        """A block of pieces: their stretch is taken from the text once, they from it."""
+        base, stop = block[0]["before"], F.element_at(block, -1)["start"]
+
+        def one(text: Column) -> Column:
+            parts = F.transform(
+                block, lambda p: F.concat(F.substring(text, p["before"] - base + 1, p["start"] - p["before"]), tags[p["kind"]])
+            )
+            return F.array_join(parts, "")
+
+        return _let(F.substring(F.col("body"), base + 1, stop - base), one)
+
+    blocks = F.transform(
+        F.sequence(F.lit(1), F.size("pieces"), _block(F.col("pieces"))),
+        lambda i: _let(F.slice("pieces", i, _block(F.col("pieces"))), replaced),
+    )
+    rest = F.substring(F.col("body"), F.col("at") + 1, F.length("body"))
+    text = F.when(F.size("pieces") == 0, F.col("body")).otherwise(F.concat(F.array_join(blocks, ""), rest))
+    done = rows.select("row", text.alias("masked_text"))
     return done.select(*[F.col("masked_text").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in names])

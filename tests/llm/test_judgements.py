@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 import re
 import zlib
 from collections import Counter
@@ -139,6 +140,46 @@ def test_base_spans_as_the_plain_patterns_say(spark):
         assert set(wanted.split(",")) <= set(r.spans.split(",")) | {""}
 
 
+def plain_choice(spans, surer):
+    """Base spans, and of the others, by start, those that overlap nothing taken and no base span."""
+    taken = [(a, k, b) for a, k, b, base in spans if base]
+    for a, k, b, base in sorted(spans):
+        if not base and (a, k, b) in surer and not any(x < b and a < y for x, _, y in taken):
+            taken.append((a, k, b))
+    return sorted(taken)
+
+
+def test_added_spans_overlap_nothing(spark):
+    rng = random.Random(4)
+    rows, wanted = [], {}
+    for doc in range(200):
+        spans, surer = [], set()
+        for _ in range(rng.choice([0, 1, 5, 40, 90])):
+            a, k = rng.randrange(300), rng.randrange(4)
+            b, base, sure = a + rng.randint(1, 25), rng.random() < 0.3, rng.random() < 0.7
+            if all((a, k, b) != s[:3] for s in spans):
+                spans.append((a, k, b, base))
+                surer |= {(a, k, b)} if sure else set()
+        votes = {s: [1 if s[:3] in surer else -1] * 5 for s in spans}
+        rows.append((doc, [(a, b, k, base, votes[a, k, b, base]) for a, k, b, base in spans]))
+        wanted[doc] = plain_choice(spans, surer)
+    frame = spark.createDataFrame(rows, "doc_id long, spans array<struct<start: int, end: int, kind: int, base: boolean, votes: array<int>>>")
+    weights = [[0.0, *[9.0] * 5, *[-9.0] * 5]] * 4
+    got = {r.doc_id: [tuple(s) for s in r.chosen] for r in pii._with_chosen(frame, weights, 0.9).collect()}
+    assert got == wanted
+
+
+def test_one_text_with_very_many_spans(spark):
+    text = " ".join(f"10.{i % 250}.{i % 99}.7 mail u{i}@x.org" for i in range(12_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    started = time.perf_counter()
+    row = pii.personal_data(docs).collect()[0]
+    assert (row.n_email, row.n_ip) == (12_000, 12_000) and row.base == plain_spans(text)
+    masked = pii.masked(docs).collect()[0].text
+    assert masked == " ".join(["<IP> mail <EMAIL>"] * 12_000)
+    assert time.perf_counter() - started < 60
+
+
 def test_masks_cover_the_spans(spark):
     docs = spark.createDataFrame([(*r, "x", "y") for r in pii_rows()], "doc_id long, text string, spans string, body string")
     done = pii.masked(docs)
@@ -240,6 +281,36 @@ def test_top_k_as_all_products_say(spark, monkeypatch, shard):
     assert kdtree.top_k(table.limit(0), "embedding", kdtree.F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_small_shards_and_empty_vectors(spark, monkeypatch):
+    monkeypatch.setattr(kdtree, "LEAF", 4)
+    is_query = kdtree.F.col("vec_id") % 20 == 0
+    schema = "vec_id long, embedding array<double>, shard string, cell int, size int"
+    far = [(i, [1.0 if i < 50 else -1.0, i / 100], "s", 1, 1) for i in range(100)]
+    # Shards that queries alone come to, and more empty vectors than a leaf holds.
+    empty = [(1000 + i, [], "s", 1, 1) for i in range(30)]
+    table = spark.createDataFrame(far + empty, schema)
+    got = sorted(tuple(r) for r in kdtree.top_k(table, "embedding", is_query, k=3, shard_vectors=5).collect())
+    whole = {i: [math.floor(64 * x) for x in v] for i, v, *_ in far + empty}
+    wanted = []
+    for q in [i for i in whole if i % 20 == 0]:
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q and len(v) == len(whole[q]))
+        wanted += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:3], 1)]
+    assert got == sorted(wanted)
+
+
+def test_queries_go_only_where_a_box_allows(spark):
+    rng = np.random.default_rng(1)
+    centres = np.array([[x, y, z, 0] for x in (-5, 5) for y in (-5, 5) for z in (-5, 5)])
+    rows = [(i, (centres[i % 8] + rng.normal(size=4) / 20).tolist()) for i in range(1600)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    placed = kdtree._in_cells(kdtree.whole_numbers(table, "embedding", 64), 200)
+    boxes = kdtree._boxes(placed)
+    assert len(boxes[4][0]) == 8 == placed.select("cell").distinct().count()
+    asked = placed.filter("vec_id < 80").selectExpr("*", "0 as number", "cast(250000 as double) as floor")
+    assert kdtree._to_search(asked, boxes).count() == 80  # of 640
+    assert kdtree._to_search(asked.withColumn("floor", kdtree.F.lit(None).cast("double")), boxes).count() == 640
+
+
 # -- chats ----------------------------------------------------------------------------------------
 
 
