@@ -49,3 +49,18 @@ def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
         total += words[j : j + n] * np.uint64(weight)
         weight = weight * base % 2**64
     return mixed(total + np.uint64(length))
+
+
+def stretch_hashes(words: np.ndarray, starts: np.ndarray, stops: np.ndarray, salt: int = 0) -> np.ndarray:
+    """The hash of the words from each start to each stop, from sums over all words before; other for another ``salt``.
+
+    Stretches of different lengths, or of different words, have different hashes but for chance.
+    """
+    base = np.uint64((0xD6E8FEB86659FD93 + 2 * salt * 0x2545F4914F6CDD1D) % 2**64 | 1)
+    back = np.uint64(pow(int(base), -1, 2**64))
+    own = mixed(words ^ np.uint64(mixed(np.array([salt + 1], dtype=np.uint64))[0]))
+    powers, roots = np.ones(len(words) + 1, dtype=np.uint64), np.ones(len(words) + 1, dtype=np.uint64)
+    np.cumprod(np.full(len(words), base), out=powers[1:])
+    np.cumprod(np.full(len(words), back), out=roots[1:])
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(own * powers[:-1], dtype=np.uint64)])
+    return mixed((sums[stops] - sums[starts]) * roots[starts] + (stops - starts).astype(np.uint64) * _M1)

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tessera.llm import minhash, substrings
+from tessera.llm import minhash, shingles, substrings
 from tessera.llm.common import importable
 from tessera.llm.components import components
 
@@ -180,3 +180,15 @@ def test_seeds_hit_every_stretch():
         assert inside.any()
     again = substrings.seeds(np.concatenate([rng.integers(0, 2**63, 77, dtype=np.uint64), words[100:135]]), 35)[0]
     assert set(again.tolist()) & set(hashes.tolist())
+
+
+def test_hashes_of_stretches_follow_from_their_words_alone():
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 2**63, 400, dtype=np.uint64)
+    words[200:300] = words[50:150]
+    starts, stops = np.arange(365), np.arange(365) + 35
+    for salt in (0, 1, 2):
+        hashes = shingles.stretch_hashes(words, starts, stops, salt)
+        assert (hashes[200:266] == hashes[50:116]).all() and len(np.unique(hashes)) == 365 - 66
+    assert len({int(shingles.stretch_hashes(words, np.array([9]), np.array([k]))[0]) for k in range(9, 100)}) == 91
+    assert not set(shingles.stretch_hashes(words, starts, stops, 1)) & set(shingles.stretch_hashes(words, starts, stops, 2))
