@@ -54,7 +54,7 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
 
 def _sketched(docs: DataFrame, length: int) -> DataFrame:
     """doc_id, digest (of the set; null if empty), n_shingles, keys."""
-    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n_shingles", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    fields = [pa.field("digest", pa.binary()), pa.field("n_shingles", pa.int64()), pa.field("keys", pa.list_(pa.int64()))]
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
@@ -65,11 +65,11 @@ def _sketched(docs: DataFrame, length: int) -> DataFrame:
                 some = len(found) > 0
                 rows.append((xxhash.xxh3_128_digest(found.tobytes()) if some else None, len(found), band_keys(found) if some else None))
             digests, counts, keys = zip(*rows, strict=True) if rows else ((), (), ())
-            columns = [pa.array(c, t) for c, t in zip((digests, counts, keys), schema.types[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema=schema)
+            columns = [pa.array(c, f.type) for c, f in zip((digests, counts, keys), fields, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], schema=pa.schema([batch.schema.field(0), *fields]))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(sketch, "doc_id long, digest binary, n_shingles long, keys array<long>")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(sketch, f"doc_id {kind}, digest binary, n_shingles long, keys array<long>")
 
 
 def _sets(docs: DataFrame, length: int) -> DataFrame:
@@ -270,7 +270,7 @@ def _numbered_sets(docs: DataFrame, length: int, classes: DataFrame, wanted: Dat
     """number and shingles of the ``wanted`` classes, from the texts of their first documents."""
     wanted = classes.select("number", "digest", "first").join(wanted.select("number").distinct(), "number")
     firsts = wanted.select("first").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = docs.select("doc_id", "text")
     chosen = texts.join(firsts, texts["doc_id"].eqNullSafe(firsts["first"]), "left_semi")
     # Where ids repeat, the digest tells which row is meant, and one row stands for all copies.
     sets = _sets(chosen, length).join(wanted.select("digest", "number"), "digest").select("number", "shingles")
@@ -312,6 +312,27 @@ def near_duplicates(docs: DataFrame, length: int, percent: int = 80) -> DataFram
     whose id is the component's; of repeated rows of that id, all. A null doc_id takes part in links; a component of
     such rows alone has a null id and is kept. No documents give no rows.
     """
+    key = F.col("doc_id").cast("long").alias("doc_id")
+    return _grouped(docs.select(key, F.col("text").cast("string").alias("text")), length, percent)
+
+
+def one_of_each(docs: DataFrame, length: int, percent: int = 80) -> DataFrame:
+    """The documents, with all their columns, but of each group of near copies one: the smallest doc_id, of equal ones any one text.
+
+    Links as in ``near_duplicates``. Each row stands for itself, whatever its id: rows without an id, and different texts under one id, are
+    kept or dropped by their own text, an id before none. Equal rows become one. Rows without words are linked with nothing and stay.
+    """
+    text = F.col("text").cast("string")
+    own = F.md5(F.coalesce(F.encode(text, "UTF-8"), F.lit(b"")))
+    key = F.struct(F.col("doc_id").isNull().alias("lacks"), F.col("doc_id").cast("long").alias("id"), own.alias("own"))
+    groups = _grouped(docs.select(key.alias("doc_id"), text.alias("text")), length, percent)
+    kept = groups.filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    rows = docs.withColumn("_key", key)
+    return rows.join(kept, rows["_key"].eqNullSafe(kept["_kept"]), "left_semi").drop("_key").dropDuplicates()
+
+
+def _grouped(docs: DataFrame, length: int, percent: int) -> DataFrame:
+    """``near_duplicates`` of doc_id, of any type that has an order, and text."""
     sketch = written(_sketched(docs, length), "minhash-sketch")
     classes = sketch.filter("digest is not null").groupBy("digest").agg(
         F.min("doc_id").alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys")

@@ -78,6 +78,22 @@ def test_near_duplicates_without_ids_and_with_repeated_ones(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string"), 4).count() == 0
 
 
+def test_one_of_each_judges_rows_by_their_own_text(spark):
+    importable(spark)
+    text = "a b c d e f g h"
+    rows = [
+        (None, text, "x"), (None, text, "y"), (5, text, "z"), (7, text, "z"), (None, "quite another text of words", "x"), (None, None, "x"), (None, "", "w"),
+        (9, "one id", "x"), (9, "and two texts", "x"), (9, "one id", "x"), (3, "one id", "x"),
+    ]
+    got = minhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, own string"), 5)
+    assert got.columns == ["doc_id", "text", "own"]
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(
+        [(5, text, "z"), (None, "quite another text of words", "x"), (None, None, "x"), (None, "", "w"), (9, "and two texts", "x"), (3, "one id", "x")],
+        key=repr,
+    )
+    assert minhash.one_of_each(got.limit(0), 5).count() == 0
+
+
 def test_links_hold_the_components_together():
     rng = np.random.default_rng(0)
     base = rng.integers(0, 2**63, 100, dtype=np.uint64)

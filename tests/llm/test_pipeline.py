@@ -95,8 +95,33 @@ def test_run_gives_what_the_stages_give(spark, results):
     assert sorted(plain) == sorted((r.doc_id, r.piece, r.start, bytes(r.ids)) for r in results[5])
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_thirteen_operators_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def run_over(spark, tmp_path, rows):
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    return corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+
+def test_run_over_an_empty_table(spark, tmp_path):
+    assert run_over(spark, tmp_path, []) == []
+
+
+def test_run_over_rows_without_ids_and_with_repeated_ones(spark, tmp_path):
+    def text(salt):
+        return " ".join(f"{salt}{'abcdefghij'[i % 10]}{'klmno'[i // 10]}" for i in range(50))
+
+    rows = [
+        (None, text("first"), "en", "s", 1), (None, text("first"), "en", "s", 1), (None, text("second"), None, None, None),
+        (4, text("third"), "en", "s", 1), (4, text("fourth"), "en", "s", 1), (6, text("first"), "de", "t", 1), (7, None, "en", "s", 0), (8, "", "en", "s", 0),
+    ]
+    got = run_over(spark, tmp_path, rows)
+    # Of the first text the copy with an id stays; the second and both texts of one id stay as well; texts without words are rejected.
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == [(False, 4), (False, 4), (False, 6), (True, 0)]
 
 
 def test_the_rest_imports_without_this_package():
@@ -111,6 +136,9 @@ def test_the_rest_imports_without_this_package():
         "assert 'l1_people' in e.queries() and 'pipeline' not in e.queries()\n"
     )
     subprocess.run([sys.executable, "-c", block], cwd=ROOT, check=True, timeout=120)
+    for library in ("xxhash", "ahocorasick", "public_tokenizers"):
+        missing = block.replace("name == 'corpus_pipeline' or name.startswith('tessera.llm')", f"name == {library!r}")
+        subprocess.run([sys.executable, "-c", missing], cwd=ROOT, check=True, timeout=120)
 
 
 @needs_tables
