@@ -8,7 +8,7 @@ import xxhash
 from tessera.llm.common import Kept
 
 #: Bytes of words whose hashes a worker keeps; beyond that it starts anew.
-KEPT_BYTES = 100_000_000
+KEPT_BYTES = 64_000_000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 

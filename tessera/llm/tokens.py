@@ -39,7 +39,7 @@ class WordEncoder:
     token, goes to the library whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept_words: int = KEPT_WORDS, kept_pieces: int = KEPT_PIECES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -54,7 +54,7 @@ class WordEncoder:
             pattern = pattern.replace(name, chars)
         self._pieces_of = re.compile(pattern).findall
         self._model = self._tokenizer.model
-        self._words, self._pieces = Kept(KEPT_WORDS), Kept(KEPT_PIECES)
+        self._words, self._pieces = Kept(kept_words), Kept(kept_pieces)
 
     def _piece(self, piece: str) -> bytes:
         merge = self._model.tokenize
@@ -99,14 +99,15 @@ class WordEncoder:
             return b"".join([known[w] for w in words])
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[tuple, WordEncoder] = {}
 
 
-def word_encoder(path: str) -> WordEncoder:
+def word_encoder(path: str, kept_words: int = KEPT_WORDS, kept_pieces: int = KEPT_PIECES) -> WordEncoder:
     """This worker's encoder."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    key = (path, kept_words, kept_pieces)
+    if key not in _encoders:
+        _encoders[key] = WordEncoder(*key)
+    return _encoders[key]
 
 
 def token_pieces(
@@ -125,7 +126,7 @@ def token_pieces(
     step = 4 * piece_tokens
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(tokenizer_path)
+        encoder = word_encoder(tokenizer_path, 60_000_000, 40_000_000)  # workers of a pipeline hold more than this
         for batch in batches:
             out: list[tuple] = []
             for doc, blob in zip(batch.column(0).to_pylist(), blobs(batch.column(1)), strict=True):
