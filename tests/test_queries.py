@@ -12,7 +12,9 @@ from tessera.plans.oracles import ORACLES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SAMPLE = [
-    "a4_metadata_push_set", "b9_rename_fields", "b12_key_case", "c9_relation_paths", "d12_entity_by_id", "e2_nested_authors",
+    "a4_metadata_push_set", "a5_process_push_bag", "a10_triples", "b6_parse_author", "b9_rename_fields", "b11_valid_activities", "b12_key_case",
+    "c1_by_identifier", "c4_tool_filter", "d2_object_values", "d3_object_rows", "d11_authors_acquired_between", "f2_keep_first",
+    "h1_union_sources", "h2_union_facts", "m2_all_objects", "c9_relation_paths", "d12_entity_by_id", "e2_nested_authors",
     "f1_backfill", "l1_people", "l2_objects", "m8_using_tool", "m12_objects_of_activities",
 ]
 # TEST_QUERIES=all compares every query of the catalog, or those named with commas between.
