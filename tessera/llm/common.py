@@ -58,7 +58,11 @@ class Kept(dict):
     def add(self, key, value, size: int = 0) -> None:
         """``size``: bytes of the value, where they are many."""
         self[key] = value
-        self._left -= getsizeof(key) + size + 140  # entry and small value
+        self.added(1, getsizeof(key) + size)
+
+    def added(self, number: int, size: int) -> None:
+        """Account for entries put in by other means; ``size``: bytes of all their keys and values."""
+        self._left -= size + 140 * number  # entry and small value
 
     def tidy(self) -> None:
         """To be called where nothing kept is in use."""

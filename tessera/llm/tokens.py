@@ -8,6 +8,8 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from itertools import filterfalse
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +22,9 @@ from tessera.llm.common import Kept, blobs
 KEPT_WORDS, KEPT_PIECES = 110_000_000, 110_000_000
 
 _SMALL = [chr(c) for c in range(0x250)]
-_PRINTABLE = re.compile("[!-~]*")
+#: The byte alphabet: bytes that print stand for themselves, the others are numbered from 256 on.
+_PRINTING = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_OF_BYTES = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTING)))}
 #: Composed as they are, and lowered one by one; no controls but white space.
 _SIMPLE = re.compile("[\\t-\\r\\x20-~\xa0-\u012F\u0131-\u024F]*")
 
@@ -57,21 +61,18 @@ class WordEncoder:
         self._words, self._pieces = Kept(kept_words), Kept(kept_pieces)
 
     def _piece(self, piece: str) -> bytes:
-        merge = self._model.tokenize
-        if _PRINTABLE.fullmatch(piece):  # stands for itself in the byte alphabet
-            return array("I", [t.id for t in merge(piece)]).tobytes()
-        parts = self._tokenizer.pre_tokenizer.pre_tokenize_str(piece)
-        return array("I", [t.id for part, _ in parts for t in merge(part)]).tobytes()
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(_OF_BYTES)
+        return array("I", [t.id for t in self._model.tokenize(piece)]).tobytes()
 
     def _word(self, word: str) -> bytes:
         """Ids of a word in lower case."""
         known, ids = self._pieces, []
-        known.tidy()
         for piece in self._pieces_of(word):
-            if piece not in known:
-                made = self._piece(piece)
-                known.add(piece, made, len(made))
-            ids.append(known[piece])
+            made = known.get(piece)
+            if made is None:
+                made = known[piece] = self._piece(piece)
+            ids.append(made)
         return ids[0] if len(ids) == 1 else b"".join(ids)
 
     def encode(self, blob: bytes) -> bytes:
@@ -87,16 +88,19 @@ class WordEncoder:
         return self._encode_simple(word)
 
     def _encode_simple(self, text: str) -> bytes:
-        words, known = text.lower().split(), self._words
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            known.tidy()
-            for w in words:
-                if w not in known:
-                    made = self._word(w)
-                    known.add(w, made, len(made))
-            return b"".join([known[w] for w in words])
+        words, known, pieces = text.lower().split(), self._words, self._pieces
+        known.tidy()
+        pieces.tidy()
+        new = list(filterfalse(known.__contains__, set(words)))
+        if new:
+            held = len(pieces)
+            made = {w: self._word(w) for w in new}
+            known.update(made)
+            size = sum(map(getsizeof, new)) + sum(map(len, made.values()))
+            known.added(len(new), size)
+            # Pieces are no longer than the words that they are of.
+            pieces.added(len(pieces) - held, size)
+        return b"".join(map(known.__getitem__, words))
 
 
 _encoders: dict[tuple, WordEncoder] = {}
