@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import kept_by_worker
+
 #: Before a turn, between role and text, after a turn. Each is one token of its own.
 START, SAYS, END = "<|turn|>", "<|says|>", "<|done|>"
 
@@ -74,20 +76,18 @@ def masked_text(text: str, starts: np.ndarray, ends: np.ndarray, mask: np.ndarra
     return "".join(unescaped(text[starts[a] : reach[b]]) for a, b in zip(firsts, lasts, strict=True))
 
 
-_tokenizers: dict[str, object] = {}
-
-
 def chat_tokenizer(path: str):
     """This worker's tokenizer, with the control strings as tokens and nothing else special."""
-    if path not in _tokenizers:
+    held = kept_by_worker("chats")
+    if path not in held:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import AddedToken, Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.add_tokens([AddedToken(c, normalized=False, special=False) for c in (START, SAYS, END)])
         tokenizer.encode_special_tokens = True
-        _tokenizers[path] = tokenizer
-    return _tokenizers[path]
+        held[path] = tokenizer
+    return held[path]
 
 
 def formatted(conversations: DataFrame, tokenizer_path: str, rows_per_batch: int = 100) -> DataFrame:

@@ -71,6 +71,21 @@ class Kept(dict):
             self._left = self._room
 
 
+_of_worker: dict[str, dict] = {}
+
+
+def kept_by_worker(operator: str) -> dict:
+    """What this worker keeps for an operator from task to task; what it kept for another one goes.
+
+    Workers pass from stage to stage, and one that still held what an earlier stage needed would take room that the present
+    one counts on. To be asked for at the start of each task, also by operators that keep nothing.
+    """
+    if operator not in _of_worker:
+        _of_worker.clear()
+        _of_worker[operator] = {}
+    return _of_worker[operator]
+
+
 def blobs(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """Texts as UTF-8 bytes, null as empty."""
     return [b if b is not None else b"" for b in column.cast(pa.binary()).to_pylist()]

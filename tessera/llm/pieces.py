@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Kept, blobs
+from tessera.llm.common import Kept, blobs, kept_by_worker
 
 BLANK = "▁"
 #: Bytes of words and of their parts whose ids a worker keeps, and pairs of pieces; beyond that it starts anew.
@@ -199,14 +199,12 @@ class PieceEncoder:
         return self._model.decode(np.frombuffer(ids, "<u4").tolist())
 
 
-_encoders: dict[str, PieceEncoder] = {}
-
-
 def piece_encoder(path: str) -> PieceEncoder:
     """This worker's encoder."""
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
+    held = kept_by_worker("pieces")
+    if path not in held:
+        held[path] = PieceEncoder(path)
+    return held[path]
 
 
 def encoded_and_decoded(docs: DataFrame, model_path: str) -> DataFrame:

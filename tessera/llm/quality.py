@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import blobs, written
+from tessera.llm.common import blobs, kept_by_worker, written
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks", "n_distinct")
 SYMBOLS = b"#*$%&|<>"
@@ -90,6 +90,7 @@ def counted(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     kind = pa.struct([(c, pa.int64()) for c in COUNTS])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_by_worker("quality")
         for batch in batches:
             found = [counts_of(b) for b in blobs(batch.column(0))]
             columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)] or [pa.array([], pa.int64())] * len(COUNTS)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Kept, blobs
+from tessera.llm.common import Kept, blobs, kept_by_worker
 
 #: Words that a block of documents holds (about; a longer document is a block of its own), and suffixes looked up at a time.
 BLOCK_WORDS, AT_ONCE = 200_000, 1 << 20
@@ -211,6 +211,7 @@ def document_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     schema = pa.schema([("key", pa.int64()), ("n_words", pa.int64()), ("runs", pa.list_(run)), ("collapsed", pa.string())])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_by_worker("runs")
         numbers = WordNumbers()
         for batch in batches:
             at = 0

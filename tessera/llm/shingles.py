@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-from tessera.llm.common import Kept
+from tessera.llm.common import Kept, kept_by_worker
 
 #: Bytes of words whose hashes a worker keeps; beyond that it starts anew.
 KEPT_BYTES = 64_000_000
@@ -24,6 +24,7 @@ class WordHashes:
     """64-bit hashes of words, kept as long as there is room."""
 
     def __init__(self, kept_bytes: int = KEPT_BYTES):
+        kept_by_worker("hashes")
         self._known = Kept(kept_bytes)
 
     def of(self, words: list[bytes]) -> np.ndarray:

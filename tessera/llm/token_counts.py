@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import kept_by_worker
+
 #: Bytes of merged pre-tokens whose counts a worker keeps; beyond that it starts anew. Longer ones (characters) are not kept.
 KEPT_BYTES, KEPT_LENGTH = 64_000_000, 100
 #: Characters of a text that are split at a time, about.
@@ -148,14 +150,12 @@ class TokenCounter:
         return total + self._stretch(text[at:] if at else text)
 
 
-_counters: dict[str, TokenCounter] = {}
-
-
 def token_counter(path: str) -> TokenCounter:
     """This worker's counter."""
-    if path not in _counters:
-        _counters[path] = TokenCounter(path)
-    return _counters[path]
+    held = kept_by_worker("counts")
+    if path not in held:
+        held[path] = TokenCounter(path)
+    return held[path]
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Kept, blobs
+from tessera.llm.common import Kept, blobs, kept_by_worker
 
 #: Bytes of words, and of pieces of words, whose ids a worker keeps; beyond that it starts anew.
 KEPT_WORDS, KEPT_PIECES = 110_000_000, 110_000_000
@@ -103,15 +103,12 @@ class WordEncoder:
         return b"".join(map(known.__getitem__, words))
 
 
-_encoders: dict[tuple, WordEncoder] = {}
-
-
 def word_encoder(path: str, kept_words: int = KEPT_WORDS, kept_pieces: int = KEPT_PIECES) -> WordEncoder:
     """This worker's encoder."""
-    key = (path, kept_words, kept_pieces)
-    if key not in _encoders:
-        _encoders[key] = WordEncoder(*key)
-    return _encoders[key]
+    key, held = (path, kept_words, kept_pieces), kept_by_worker("words")
+    if key not in held:
+        held[key] = WordEncoder(*key)
+    return held[key]
 
 
 def token_pieces(

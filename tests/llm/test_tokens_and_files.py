@@ -11,8 +11,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tessera.llm import packing, pieces, token_files
-from tessera.llm.common import importable
+from tessera.llm import packing, pieces, token_files, tokens
+from tessera.llm.common import importable, kept_by_worker
 from tessera.llm.tokens import WordEncoder
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
@@ -157,3 +157,10 @@ def test_sum_of_squares_is_close_to_the_bound():
     assert max(filled.values()) <= 2048 and packer.bins <= 1.01 * (sum(items) / 2048) + 2
     with pytest.raises(ValueError):
         packer.place(0)
+
+
+def test_a_worker_keeps_for_one_operator_only():
+    encoder = tokens.word_encoder(WORD)
+    assert tokens.word_encoder(WORD) is encoder
+    kept_by_worker("another")
+    assert tokens.word_encoder(WORD) is not encoder
