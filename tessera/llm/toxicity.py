@@ -1,9 +1,9 @@
 """Toxicity of texts by weak supervision.
 
-Voters look for one word, or one beginning of words, each (the lexicons), or for a pattern of the whole text. A generative label model
-estimates by expectation-maximisation how accurate each voter is, and from what its votes have in common beyond the class,
-which voters depend on each other; dependent ones share one say. A linear classifier of the voters' findings is
-trained on the posterior labels and scores every text.
+Voters look for one word, or one beginning of words, each (the lexicons), or for a pattern of the whole text; the given label is a
+voter too. A generative label model estimates by expectation-maximisation how accurate each voter is, the label included, and
+which voters depend on each other beyond the class: those are paired along a forest, and a vote counts for what it adds to its
+parent's. A linear classifier of the voters' findings is trained on the posterior labels and scores every text.
 
 Lexicons and model are fitted on a bounded sample of labelled rows, ``SAMPLE`` of each label; shares of the labels are counted
 over all of them. Nothing but the text enters a score.
@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import blobs
+from tessera.llm.common import blobs, kept_by_worker
 
 #: Labelled rows of each label that lexicons and model are fitted on, at most.
 SAMPLE = 3_000
@@ -30,9 +30,8 @@ SAMPLE = 3_000
 VOTERS, LEAST_EVIDENCE = 400, 30.0
 BEGINNINGS = (4, 5, 6)
 ROUNDS = 30
-#: How often a given label is taken to be right; the other voters' accuracies are estimated.
-RIGHT = 0.98
-DEPENDENT = 0.3
+#: Votes' worth of belief that a voter votes without regard to the one that it depends on.
+LOOSE = 2.0
 PATTERNS = ("shouting", "exclaiming", "no finding", "two findings")
 _FACTORS = (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 _EDGES = b".,;:!?\"'()[]{}#*$%&|<>-_"
@@ -117,31 +116,89 @@ def lexicon(rows: list[tuple[list[str], int, tuple[bool, bool]]]) -> list[str]:
     return sorted((m for m, e in found.items() if e >= LEAST_EVIDENCE), key=lambda m: (-found[m], m))[:VOTERS]
 
 
-def _label_model(votes: np.ndarray, labels: np.ndarray, prior: float) -> np.ndarray:
-    """Posterior of the class, given votes (1, 0 or -1; a column per voter); the given label is a voter like others."""
-    say = np.column_stack([votes, np.where(labels == 1, 1, -1)])
-    rows, voters = say.shape
-    share = np.clip(0.5 + 0.4 * np.sign(say.sum(axis=1)), 0.05, 0.95)
-    weight = np.ones(voters)
-    for round_ in range(ROUNDS):
-        odds = np.full(rows, math.log(prior / (1 - prior)))
-        rates = []
-        for value in (1, 0, -1):
-            is_value = say == value
-            yes = (is_value.T @ share + (2.0 if value == 1 else 1.0)) / (share.sum() + 4)
-            no = (is_value.T @ (1 - share) + (2.0 if value == -1 else 1.0)) / ((1 - share).sum() + 4)
-            yes[-1], no[-1] = {1: (RIGHT, 1 - RIGHT), 0: (1.0, 1.0), -1: (1 - RIGHT, RIGHT)}[value]
-            rates.append((yes, no))
-            odds += is_value @ (weight * np.log(yes / no))
-        share = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-        if round_ == ROUNDS // 2:
-            # What votes have in common beyond the class: dependent voters share one say.
-            rest = say - np.outer(share, rates[0][0] - rates[2][0]) - np.outer(1 - share, rates[0][1] - rates[2][1])
-            spread = np.sqrt((rest**2).mean(axis=0)) + 1e-9
-            common = (rest.T @ rest) / rows / np.outer(spread, spread)
-            weight = 1 / (np.abs(common) > DEPENDENT).sum(axis=0).clip(1)
-            weight[-1] = 1.0
-    return share
+@dataclass
+class LabelModel:
+    """What voters say of a class: a vote depends on the class and on the vote of one other voter at most, its parent.
+
+    ``chances[c, j, p, v]`` is the chance that voter j votes v where the class is c and its parent votes p. Votes are numbered
+    0 (none), 1 (for) and 2 (against); a voter without a parent has p = 0.
+    """
+
+    prior: float
+    parents: np.ndarray
+    chances: np.ndarray
+
+    def odds(self, votes: np.ndarray) -> np.ndarray:
+        """Log odds of the class, given rows of votes (1, 0 or -1; a column per voter)."""
+        codes = _codes(votes, self.parents)
+        tell = np.log(self.chances[1] / self.chances[0]).reshape(len(self.parents), 9)
+        found = sum((codes == k) @ tell[:, k] for k in range(9))
+        return math.log(self.prior / (1 - self.prior)) + found
+
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.odds(votes), -30, 30)))
+
+
+def _codes(votes: np.ndarray, parents: np.ndarray) -> np.ndarray:
+    """Three times the parent's vote, plus the voter's own, as numbered by the model."""
+    numbered = (votes % 3).astype(np.int8)
+    return 3 * np.where(parents >= 0, numbered[:, parents], 0) + numbered
+
+
+def estimated(votes: np.ndarray, parents: np.ndarray, share: np.ndarray, prior: float) -> LabelModel:
+    """The model, given each row's chance of the class: a voter is taken to be right rather than wrong by one vote, and to
+    vote without regard to its parent by ``LOOSE`` votes."""
+    codes = _codes(votes, parents)
+    chances = np.empty((2, votes.shape[1], 3, 3))
+    for c, weight in enumerate((1 - share, share)):
+        counts = np.column_stack([weight @ (codes == k) for k in range(9)]).reshape(-1, 3, 3)
+        alone = counts.sum(axis=1) + np.where(np.arange(3) == 2 - c, 2.0, 1.0)
+        alone /= alone.sum(axis=1, keepdims=True)
+        chances[c] = (counts + LOOSE * alone[:, None, :]) / (counts.sum(axis=2, keepdims=True) + LOOSE)
+    return LabelModel(prior, parents, chances)
+
+
+def dependent(votes: np.ndarray, share: np.ndarray, least: float = LEAST_EVIDENCE) -> np.ndarray:
+    """A parent for each voter (-1: none): the forest of the pairs that tell most of each other beyond the class.
+
+    A pair's weight is the likelihood ratio of its counts in each class against chance, of whether the two vote at all.
+    """
+    fires = (votes != 0).astype(float)
+    told = np.zeros((votes.shape[1],) * 2)
+    for weight in (share, 1 - share):
+        n, both = weight.sum(), fires.T @ (fires * weight[:, None])
+        one = np.diag(both)
+        neither = n - one[:, None] - one[None, :] + both
+        cells = ((both, one, one), (one[:, None] - both, one, n - one), (one[None, :] - both, n - one, one), (neither, n - one, n - one))
+        for seen, a, b in cells:
+            seen, chance = seen.clip(0), np.outer(a, b) / max(n, 1e-9)
+            told += 2 * np.where(seen > 1e-9, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(chance, 1e-9)), 0.0)
+    parents = np.full(len(told), -1)
+    best, source, open_ones = np.full(len(told), -1.0), np.full(len(told), -1), np.ones(len(told), dtype=bool)
+    for _ in parents:
+        # The next voter is the one that the tree so far tells most of, or begins a tree of its own.
+        j = int(np.where(open_ones, best, -2.0).argmax())
+        parents[j] = source[j] if best[j] >= least else -1
+        open_ones[j] = False
+        closer = told[j] > best
+        best, source = np.where(closer, told[j], best), np.where(closer, j, source)
+    return parents
+
+
+def label_model(votes: np.ndarray, labels: np.ndarray, prior: float, rounds: int = ROUNDS) -> tuple[LabelModel, np.ndarray]:
+    """The model of the votes and the posterior of each row, by expectation-maximisation.
+
+    The given label is one more voter, the last one, that depends on the class alone: its accuracy is estimated like the others'. It
+    is where the rounds begin. Pairs are sought at once, as copies of one voter would otherwise pass for the class, and again half-way.
+    """
+    say = np.column_stack([votes, np.where(labels == 1, 1, -1)]).astype(int)
+    share = np.where(labels == 1, 0.95, 0.05)
+    for round_ in range(rounds):
+        if round_ in (0, rounds // 2):
+            parents = np.append(dependent(say[:, :-1], share), -1)
+        model = estimated(say, parents, share, prior)
+        share = model.posterior(say)
+    return model, share
 
 
 def _regression(x: np.ndarray, goal: np.ndarray, importance: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -178,7 +235,7 @@ def fitted(rows: Iterable[tuple[list[str], int, tuple[bool, bool]]], toxic_share
     votes = np.column_stack([found, patterns * np.array([1, 1, -1, 1])])
     prior = min(0.99, max(0.01, toxic_share))
     share = labels.mean()
-    goal = _label_model(votes, labels, min(0.99, max(0.01, share)))
+    _, goal = label_model(votes, labels, min(0.99, max(0.01, share)))
     importance = np.where(labels == 1, prior / share, (1 - prior) / (1 - share))
     x = np.column_stack([np.ones(len(sample)), found, patterns, np.log1p(hits)])
     w = _regression(x, goal, importance)
@@ -222,6 +279,7 @@ def scored(docs: DataFrame, classifier: Classifier) -> DataFrame:
     """doc_id and score (0 to 1) of every row; null and empty texts have the score of a text without findings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_by_worker("toxicity")
         for batch in batches:
             scores = [classifier.score(t) for t in blobs(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])

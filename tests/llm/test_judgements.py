@@ -252,6 +252,65 @@ def test_scores_of_held_out_rows(spark):
     assert by_id[None].predicted == 1 and by_id[-1].score == by_id[-2].score < 0.3
 
 
+def plain_posteriors(say, labels, parents, prior, rounds):
+    """Expectation-maximisation of voters that depend on a parent's vote (0 where there is none), row by row and vote by vote."""
+    share = [0.95 if y else 0.05 for y in labels]
+    for _ in range(rounds):
+        chance = {}
+        for c in (0, 1):
+            weight = [s if c else 1 - s for s in share]
+            for j, parent in enumerate(parents):
+                seen = Counter()
+                for w, row in zip(weight, say, strict=True):
+                    seen[row[parent] if parent >= 0 else 0, row[j]] += w
+                for v in (0, 1, -1):
+                    alone = (sum(seen[p, v] for p in (0, 1, -1)) + (2 if v == (1 if c else -1) else 1)) / (sum(weight) + 4)
+                    for p in (0, 1, -1):
+                        chance[c, j, p, v] = (seen[p, v] + 2 * alone) / (sum(seen[p, u] for u in (0, 1, -1)) + 2)
+        share = []
+        for row in say:
+            votes = [(j, row[p] if p >= 0 else 0, row[j]) for j, p in enumerate(parents)]
+            both = [(prior if c else 1 - prior) * math.prod(chance[c, *vote] for vote in votes) for c in (0, 1)]
+            share.append(both[1] / sum(both))
+    return share
+
+
+def made_votes(rows=600, wrong=0.1):
+    """Three voters of known accuracy, and labels of which some are wrong."""
+    rng = np.random.default_rng(3)
+    truth = rng.random(rows) < 0.3
+    votes = np.column_stack([np.where(rng.random(rows) < right, np.where(truth, 1, 0), np.where(truth, 0, 1)) for right in (0.9, 0.85, 0.8)])
+    return truth, votes, np.where(rng.random(rows) < wrong, ~truth, truth).astype(int)
+
+
+@pytest.mark.parametrize("parents", [[-1, -1, -1, -1], [-1, 0, 1, -1], [2, -1, 1, -1]])
+def test_posteriors_as_the_plain_model_has_them(parents):
+    _, votes, labels = made_votes()
+    say = np.column_stack([votes, np.where(labels == 1, 1, -1)])
+    share = np.where(labels == 1, 0.95, 0.05)
+    for _ in range(6):
+        share = toxicity.estimated(say, np.array(parents), share, 0.3).posterior(say)
+    np.testing.assert_allclose(share, plain_posteriors(say.tolist(), labels.tolist(), parents, 0.3, 6), atol=1e-9)
+
+
+def test_a_vote_counts_for_what_it_adds_to_its_parents():
+    truth, votes, labels = made_votes(2000)
+    copied = np.column_stack([votes, *[votes[:, :1]] * 5])
+    parents = toxicity.dependent(copied, truth.astype(float))
+    copies = [0, 3, 4, 5, 6, 7]
+    assert sum(parents[j] in copies for j in copies) == 5 and all(parents[j] == -1 for j in (1, 2))
+    _, once = toxicity.label_model(votes, labels, 0.3)
+    _, often = toxicity.label_model(copied, labels, 0.3)
+    assert np.abs(once - often).mean() < 0.03
+
+
+def test_the_label_is_a_voter_whose_accuracy_is_estimated():
+    truth, votes, labels = made_votes(4000, wrong=0.1)
+    model, share = toxicity.label_model(votes, labels, 0.3)
+    assert abs(model.chances[1, -1, 0, 1] - 0.9) < 0.05 and abs(model.chances[0, -1, 0, 2] - 0.9) < 0.05
+    assert ((share > 0.5) != truth).mean() < (labels != truth).mean() - 0.02  # it mends wrong labels
+
+
 def test_nothing_to_learn_from_scores_next_to_nothing(spark):
     docs = spark.createDataFrame([(1, "some text"), (2, None)], "doc_id long, text string")
     for labels in ([], [(1, 1)], [(1, 0)]):
