@@ -45,7 +45,7 @@ def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     # What follows the last document, or an array without any.
     rest = F.when(listed & F.col("leads"), F.col("text").rlike(r"^\s*\[\s*(?:null\s*(?:,\s*null\s*)*+)?+\]\s*$"))
     rest = rest.when(listed, F.col("text").rlike(r"^\s*(?:,\s*null\s*)*+\]\s*$")).otherwise(~F.col("text").rlike(r"\S"))
-    wrong = F.raise_error(F.concat(F.lit("MALFORMED_RECORD_IN_PARSING, not an array of JSON documents: "), F.col("file"))).cast("string")
+    wrong = F.raise_error(F.concat(F.lit("[MALFORMED_RECORD_IN_PARSING] not an array of JSON documents: "), F.col("file"))).cast("string")
     document = F.substring(F.col("text"), F.length(between) + 1, F.length("text"))
     checked = F.when(F.col("ended"), F.when(sound, document).otherwise(wrong)).otherwise(
         F.when(rest, F.lit(None).cast("string")).otherwise(wrong)
