@@ -40,14 +40,17 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
-        level = ids.astype(np.uint32)
-        n, bits = len(level), int(level.max(initial=0)).bit_length()
+        n, bits = len(ids), int(ids.max(initial=0)).bit_length()
+        level = ids.astype(np.uint16 if bits <= 16 else np.uint32)
+        below = np.empty_like(level)
         planes, zeros = [], []
         for b in reversed(range(bits)):
-            bit = (level >> np.uint32(b)) & np.uint32(1) != 0
+            bit = level & level.dtype.type(1 << b) != 0
             planes.append(np.packbits(bit, bitorder="little"))
             zeros.append(n - int(np.count_nonzero(bit)))
-            level = np.concatenate([level[~bit], level[bit]])
+            np.compress(~bit, level, out=below[: zeros[-1]])
+            np.compress(bit, level, out=below[zeros[-1] :])
+            level, below = below, level
         return cls._ranked(n, planes, zeros)
 
     @classmethod

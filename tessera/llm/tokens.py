@@ -7,9 +7,7 @@ import os
 import re
 import unicodedata
 from array import array
-from collections.abc import Iterator
-from itertools import filterfalse
-from sys import getsizeof
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +31,19 @@ def _of_category(category: str) -> str:
     return "".join(re.escape(c) for c in _SMALL if unicodedata.category(c)[0] == category)
 
 
+class _Made(Kept):
+    """What ``make`` gives for each key that was asked for."""
+
+    def __init__(self, make: Callable[[str], bytes], room: int):
+        super().__init__(room)
+        self._make = make
+
+    def __missing__(self, key: str) -> bytes:
+        made = self._make(key)
+        self.add(key, made, len(made))
+        return made
+
+
 class WordEncoder:
     """Ids of a text as little-endian unsigned 32-bit integers, the same as the library gives for it.
 
@@ -58,7 +69,8 @@ class WordEncoder:
             pattern = pattern.replace(name, chars)
         self._pieces_of = re.compile(pattern).findall
         self._model = self._tokenizer.model
-        self._words, self._pieces = Kept(kept_words), Kept(kept_pieces)
+        self._pieces = _Made(self._piece, kept_pieces)
+        self._words = _Made(self._word, kept_words)
 
     def _piece(self, piece: str) -> bytes:
         if not piece.isascii():
@@ -67,13 +79,7 @@ class WordEncoder:
 
     def _word(self, word: str) -> bytes:
         """Ids of a word in lower case."""
-        known, ids = self._pieces, []
-        for piece in self._pieces_of(word):
-            made = known.get(piece)
-            if made is None:
-                made = known[piece] = self._piece(piece)
-            ids.append(made)
-        return ids[0] if len(ids) == 1 else b"".join(ids)
+        return b"".join(map(self._pieces.__getitem__, self._pieces_of(word)))
 
     def encode(self, blob: bytes) -> bytes:
         text = blob.decode()
@@ -88,19 +94,9 @@ class WordEncoder:
         return self._encode_simple(word)
 
     def _encode_simple(self, text: str) -> bytes:
-        words, known, pieces = text.lower().split(), self._words, self._pieces
-        known.tidy()
-        pieces.tidy()
-        new = list(filterfalse(known.__contains__, set(words)))
-        if new:
-            held = len(pieces)
-            made = {w: self._word(w) for w in new}
-            known.update(made)
-            size = sum(map(getsizeof, new)) + sum(map(len, made.values()))
-            known.added(len(new), size)
-            # Pieces are no longer than the words that they are of.
-            pieces.added(len(pieces) - held, size)
-        return b"".join(map(known.__getitem__, words))
+        self._words.tidy()
+        self._pieces.tidy()
+        return b"".join(map(self._words.__getitem__, text.lower().split()))
 
 
 def word_encoder(path: str, kept_words: int = KEPT_WORDS, kept_pieces: int = KEPT_PIECES) -> WordEncoder:

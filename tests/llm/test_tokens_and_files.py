@@ -56,6 +56,29 @@ def test_words_encode_as_the_library_does(words, text):
         assert encoder.encode(t.encode()) == as_bytes(library.encode(t, add_special_tokens=False).ids)
 
 
+def test_a_word_is_made_once_and_all_go_when_they_are_many():
+    encoder, asked = WordEncoder(WORD, kept_words=2000, kept_pieces=2000), []
+    encoder._words._make = lambda w, make=encoder._words._make: asked.append(w) or make(w)
+    fresh = WordEncoder(WORD)
+    for text in ("a b a B c", "a d", "new " * 3):
+        assert encoder.encode(text.encode()) == fresh.encode(text.encode())
+    assert asked == ["a", "b", "c", "d", "new"]
+    many = " ".join(f"w{i}" for i in range(50))
+    assert encoder.encode(many.encode()) == fresh.encode(many.encode())
+    assert len(encoder._words) > 50
+    encoder.encode(b"a")
+    assert asked[-1] == "a" and list(encoder._words) == ["a"]
+
+
+@pytest.mark.parametrize("highest", [0, 1, 255, 2**16 - 1, 2**16, 2**32 - 1])
+def test_planes_of_narrow_and_wide_ids(highest):
+    ids = np.array([highest, 0, highest // 2, highest, 1 % (highest + 1)] * 300, dtype="<u4")
+    matrix = token_files.WaveletMatrix.from_bytes(token_files.WaveletMatrix.build(ids).to_bytes())
+    assert matrix.all().tolist() == ids.tolist()
+    assert [matrix.access(i) for i in range(5)] == ids[:5].tolist()
+    assert matrix.rank(highest, len(ids)) == ids.tolist().count(highest)
+
+
 PIECE_TEXT = st.one_of(TEXT, st.text("aabcdeinorst ", max_size=60), st.text(" ▁\nx", max_size=40))
 
 
