@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -78,11 +79,14 @@ def kept_by_worker(operator: str) -> dict:
     """What this worker keeps for an operator from task to task; what it kept for another one goes.
 
     Workers pass from stage to stage, and one that still held what an earlier stage needed would take room that the present
-    one counts on. To be asked for at the start of each task, also by operators that keep nothing.
+    one counts on. To be asked for at the start of each task, also by operators that keep nothing. What Arrow holds back of
+    earlier batches goes back to the system too.
     """
     if operator not in _of_worker:
         _of_worker.clear()
         _of_worker[operator] = {}
+        gc.collect()  # encoders and what they keep refer to each other
+    pa.default_memory_pool().release_unused()
     return _of_worker[operator]
 
 

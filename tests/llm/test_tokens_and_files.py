@@ -1,9 +1,13 @@
 """Encoders against their libraries, token files and packing against plain arithmetic."""
 
 import random
+import re
+import weakref
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -187,3 +191,17 @@ def test_a_worker_keeps_for_one_operator_only():
     assert tokens.word_encoder(WORD) is encoder
     kept_by_worker("another")
     assert tokens.word_encoder(WORD) is not encoder
+
+
+def test_a_worker_gives_back_what_it_kept_and_what_arrow_held():
+    def held_mb():
+        return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text()))) / 1024
+
+    kept_by_worker("one")
+    gone = weakref.ref(tokens.word_encoder(WORD))
+    batches = [pa.array([b"x" * 2000] * 500) for _ in range(200)]
+    del batches
+    before = held_mb()
+    kept_by_worker("another")
+    assert gone() is None
+    assert held_mb() < before - 50
