@@ -6,15 +6,19 @@ import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
 from sys import getsizeof
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but blank and the characters 9 to 13. ``bytes.split()`` cuts UTF-8 so.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Characters or bytes of texts whose words are told apart at once, or those of one text if these are more.
+STRETCH = 4_000_000
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -72,6 +76,45 @@ class Kept(dict):
             self._left = self._room
 
 
+class Made(Kept):
+    """What ``make`` gives for each key that was asked for."""
+
+    def __init__(self, make: Callable[[str], bytes], room: int):
+        super().__init__(room)
+        self._make = make
+
+    def __missing__(self, key: str) -> bytes:
+        made = self[key] = self._make(key)
+        self.added(1, getsizeof(key) + len(made))
+        return made
+
+
+def stretches(texts: list, size: int = STRETCH) -> Iterator[list]:
+    """The texts in order, as many at a time as hold ``size`` in all."""
+    some, held = [], 0
+    for text in texts:
+        if some and held + len(text) > size:
+            yield some
+            some, held = [], 0
+        some.append(text)
+        held += len(text)
+    if some:
+        yield some
+
+
+def looked_up(words: pa.ListArray, made: Callable[[str], bytes]) -> list[bytes]:
+    """For each list of words what ``made`` gives for them, joined. It is asked once for each word, whatever lists hold it."""
+    told = words.flatten().dictionary_encode()
+    if not len(told):
+        return [b""] * len(words)
+    values = pa.array([made(w) for w in told.dictionary.to_numpy(zero_copy_only=False)], pa.large_binary())
+    joined = values.take(told.indices)
+    at = words.offsets.to_numpy()
+    ends = np.frombuffer(joined.buffers()[1], "<i8")[at - at[0]].tolist()
+    data = memoryview(joined.buffers()[2] or b"")
+    return [data[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]
+
+
 _of_worker: dict[str, dict] = {}
 
 

@@ -15,14 +15,15 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Kept, blobs, kept_by_worker
+from tessera.llm.common import Made, blobs, kept_by_worker, looked_up, stretches
 
 BLANK = "▁"
-#: Bytes of words and of their parts whose ids a worker keeps, and pairs of pieces; beyond that it starts anew.
-KEPT_WORDS, KEPT_PARTS = 150_000_000, 75_000_000
+#: Bytes of words whose ids a worker keeps, and pairs of pieces; beyond that it starts anew.
+KEPT_WORDS = 200_000_000
 KEPT_PAIRS = 1_000_000
 
 
@@ -61,9 +62,8 @@ class PieceEncoder:
         self._automaton.make_automaton()
         self._bytes = [self._ids_of(p) for p in self._list]
         self._pairs: dict[int, bool] = {}
-        self._inside = {p[i : i + 2] for p in self._score for i in range(len(p) - 1)}
         self._begin, self._end = (np.array([i], dtype="<u4").tobytes() for i in (model.bos_id(), model.eos_id()))
-        self._words, self._parts = Kept(KEPT_WORDS), Kept(KEPT_PARTS)
+        self._words = Made(lambda w: self._chunk(BLANK + w), KEPT_WORDS)
 
     def _ids_of(self, piece: str) -> bytes:
         ids = [self._id[piece]] if piece in self._id else [self._byte[b] for b in piece.encode()]
@@ -137,25 +137,6 @@ class PieceEncoder:
                 left += 1
         return b"".join(self._ids_of(BLANK * k) for k in out)
 
-    def _cut(self, text: str) -> Iterator[str]:
-        """Parts between which no piece can reach, as no piece holds the two characters in a row."""
-        start, inside = 0, self._inside
-        for i in range(1, len(text)):
-            if text[i - 1 : i + 1] not in inside:
-                yield text[start:i]
-                start = i
-        yield text[start:]
-
-    def _word(self, text: str) -> bytes:
-        known, ids = self._parts, []
-        known.tidy()
-        for part in self._cut(text):
-            if part not in known:
-                made = self._chunk(part)
-                known.add(part, made, len(made))
-            ids.append(known[part])
-        return ids[0] if len(ids) == 1 else b"".join(ids)
-
     def encode(self, text: str) -> bytes:
         """Ids, little-endian unsigned 32-bit, with those of begin and end."""
         return self._begin + self.encode_plain(text) + self._end
@@ -164,37 +145,32 @@ class PieceEncoder:
         """The same without begin and end. The text gets a blank in front, an empty one stays empty."""
         if not text:
             return b""
-        # No piece holds a blank behind another character: each run of blanks starts a new part.
-        words, known = text.replace(BLANK, " ").split(" "), self._words
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        known.tidy()
-
-        def keep(w: str) -> None:
-            if w not in known:
-                made = self._word(BLANK + w)
-                known.add(w, made, len(made))
-
+        # No piece holds a blank behind another character: each run of blanks starts anew.
+        words = text.replace(BLANK, " ").split(" ")
+        self._words.tidy()
         if "" not in words:
-            for w in words:
-                keep(w)
-            return b"".join([known[w] for w in words])
+            return b"".join(map(self._words.__getitem__, words))
         out, blanks = [], 0
         for w in words:
             blanks += 1
-            if w and blanks == 1:
-                keep(w)
-                out.append(known[w])
-            elif w:
-                out.append(self._word(BLANK * blanks + w))
             if w:
+                out.append(self._words[w] if blanks == 1 else self._chunk(BLANK * blanks + w))
                 blanks = 0
         if blanks:
             out.append(self._blanks(blanks) if self._runs else self._ids_of(BLANK) * blanks)
         return b"".join(out)
 
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids with begin and end of many texts, in order; those of a stretch ask once for each word that they share."""
+        for some in stretches(texts):
+            spaced = [t.replace(BLANK, " ") for t in some]
+            single = [t != "" and t[0] != " " and t[-1] != " " and "  " not in t for t in spaced]
+            self._words.tidy()
+            words = pc.split_pattern(pa.array([t for t, s in zip(spaced, single, strict=True) if s], pa.large_string()), " ")
+            made = iter(looked_up(words, self._words.__getitem__))
+            for text, s in zip(some, single, strict=True):
+                yield self._begin + next(made) + self._end if s else self.encode(text)
+
     def decode(self, ids: bytes) -> str:
         return self._model.decode(np.frombuffer(ids, "<u4").tolist())
 
@@ -218,7 +194,7 @@ def encoded_and_decoded(docs: DataFrame, model_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = piece_encoder(model_path)
         for batch in batches:
-            ids = [encoder.encode(b.decode()) for b in blobs(batch.column(1))]
+            ids = list(encoder.encode_all([b.decode() for b in blobs(batch.column(1))]))
             texts = pa.array([encoder.decode(i) for i in ids], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), texts], schema=schema)
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tessera.llm import packing, pieces, token_files, tokens
-from tessera.llm.common import importable, kept_by_worker
+from tessera.llm.common import importable, kept_by_worker, looked_up, stretches
 from tessera.llm.tokens import WordEncoder
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
@@ -109,6 +109,29 @@ def test_pieces_of_random_pieces(piece_models):
         assert encoder.encode(text) == as_bytes(library.encode(text, add_bos=True, add_eos=True))
 
 
+MANY = ["a b\xa0a B", "", "b  a", " a", "a ", "▁a b", "a\tb <|endoftext|> a", "日本 İ b", "thand, it's 2024 thand\nit's", "a b\xa0a B"]
+
+
+def test_many_texts_encode_by_pieces_as_one_by_one(piece_models):
+    _, library = piece_models
+    encoder, asked = pieces.PieceEncoder(PIECE), []
+    encoder._words._make = lambda w, make=encoder._words._make: asked.append(w) or make(w)
+    ids = [as_bytes(library.encode(t, add_bos=True, add_eos=True)) for t in MANY]
+    assert list(encoder.encode_all(MANY)) == ids == [encoder.encode(t) for t in MANY]
+    assert len(asked) == len(set(asked))
+    assert list(encoder.encode_all([])) == [] and list(encoder.encode_all([""])) == ids[1:2]
+
+
+def test_each_word_of_many_texts_is_asked_for_once():
+    asked = []
+    lists = pa.array([["a", "b", "a"], [], ["b", ""]], pa.list_(pa.large_string()))
+    assert looked_up(lists, lambda w: asked.append(w) or 2 * w.encode()) == [b"aabbaa", b"", b"bb"]
+    assert sorted(asked) == ["", "a", "b"]
+    assert looked_up(lists[2:], str.encode) == [b"b"] and looked_up(lists, lambda w: b"") == [b""] * 3
+    assert looked_up(lists[1:2], None) == [b""] and looked_up(lists[:0], None) == []
+    assert list(stretches(["aa", "b", "cccc", "", "d"], 3)) == [["aa", "b"], ["cccc"], ["", "d"]]
+
+
 def test_every_row_is_encoded_and_decoded(docs, piece_models):
     _, library = piece_models
     got = sorted(((r.doc_id, bytes(r.ids), r.decoded) for r in pieces.encoded_and_decoded(docs, PIECE).collect()), key=repr)
