@@ -214,8 +214,8 @@ def write_token_files(
             held, number = 0, number + 1
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), blobs(batch.column(1)), strict=True):
-                got = encoder.encode(text) + tail
+            for doc, made in zip(batch.column(0).to_pylist(), encoder.encode_all(blobs(batch.column(1))), strict=True):
+                got = made + tail
                 if held and held + len(got) // 4 > file_tokens:
                     yield from flush()
                 ids.append(got)

@@ -7,17 +7,18 @@ import os
 import re
 import unicodedata
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Kept, blobs, kept_by_worker
+from tessera.llm.common import Made, blobs, kept_by_worker, looked_up, stretches
 
 #: Bytes of words, and of pieces of words, whose ids a worker keeps; beyond that it starts anew.
-KEPT_WORDS, KEPT_PIECES = 110_000_000, 110_000_000
+KEPT_WORDS, KEPT_PIECES = 150_000_000, 40_000_000
 
 _SMALL = [chr(c) for c in range(0x250)]
 #: The byte alphabet: bytes that print stand for themselves, the others are numbered from 256 on.
@@ -31,19 +32,6 @@ def _of_category(category: str) -> str:
     return "".join(re.escape(c) for c in _SMALL if unicodedata.category(c)[0] == category)
 
 
-class _Made(Kept):
-    """What ``make`` gives for each key that was asked for."""
-
-    def __init__(self, make: Callable[[str], bytes], room: int):
-        super().__init__(room)
-        self._make = make
-
-    def __missing__(self, key: str) -> bytes:
-        made = self._make(key)
-        self.add(key, made, len(made))
-        return made
-
-
 class WordEncoder:
     """Ids of a text as little-endian unsigned 32-bit integers, the same as the library gives for it.
 
@@ -69,8 +57,8 @@ class WordEncoder:
             pattern = pattern.replace(name, chars)
         self._pieces_of = re.compile(pattern).findall
         self._model = self._tokenizer.model
-        self._pieces = _Made(self._piece, kept_pieces)
-        self._words = _Made(self._word, kept_words)
+        self._pieces = Made(self._piece, kept_pieces)
+        self._words = Made(self._word, kept_words)
 
     def _piece(self, piece: str) -> bytes:
         if not piece.isascii():
@@ -78,8 +66,11 @@ class WordEncoder:
         return array("I", [t.id for t in self._model.tokenize(piece)]).tobytes()
 
     def _word(self, word: str) -> bytes:
-        """Ids of a word in lower case."""
-        return b"".join(map(self._pieces.__getitem__, self._pieces_of(word)))
+        """Ids of a word in lower case. Letters alone are one piece, and as a word they may be known already."""
+        if word.isalpha():
+            return self._pieces.get(word) or self._piece(word)
+        words, pieces = self._words, self._pieces
+        return b"".join([(words.get(p) if p.isalpha() else None) or pieces[p] for p in self._pieces_of(word)])
 
     def encode(self, blob: bytes) -> bytes:
         text = blob.decode()
@@ -87,6 +78,17 @@ class WordEncoder:
             return b"".join(map(self._encode_word, blob.split()))
         return self._encode_simple(text)
 
+    def encode_all(self, blobs: list[bytes]) -> Iterator[bytes]:
+        """The same for many texts, in order; those of a stretch ask once for each word that they share."""
+        for some in stretches(blobs):
+            texts = [b.decode() for b in some]
+            simple = ["<|" not in t and _SIMPLE.fullmatch(t) is not None for t in texts]
+            lowered = [t.lower().replace("\xa0", " ") for t, s in zip(texts, simple, strict=True) if s]
+            self._tidy()
+            made = iter(looked_up(pc.ascii_split_whitespace(pa.array(lowered, pa.large_string())), self._words.__getitem__))
+            for blob, s in zip(some, simple, strict=True):
+                yield next(made) if s else self.encode(blob)
+
     def _encode_word(self, blob: bytes) -> bytes:
         word = blob.decode()
         if "<|" in word or not _SIMPLE.fullmatch(word):
@@ -94,9 +96,12 @@ class WordEncoder:
         return self._encode_simple(word)
 
     def _encode_simple(self, text: str) -> bytes:
+        self._tidy()
+        return b"".join(map(self._words.__getitem__, text.lower().split()))
+
+    def _tidy(self) -> None:
         self._words.tidy()
         self._pieces.tidy()
-        return b"".join(map(self._words.__getitem__, text.lower().split()))
 
 
 def word_encoder(path: str, kept_words: int = KEPT_WORDS, kept_pieces: int = KEPT_PIECES) -> WordEncoder:
@@ -126,8 +131,8 @@ def token_pieces(
         encoder = word_encoder(tokenizer_path)
         for batch in batches:
             out: list[tuple] = []
-            for doc, blob in zip(batch.column(0).to_pylist(), blobs(batch.column(1)), strict=True):
-                ids = encoder.encode(blob) + tail
+            for doc, made in zip(batch.column(0).to_pylist(), encoder.encode_all(blobs(batch.column(1))), strict=True):
+                ids = made + tail
                 for i, at in enumerate(range(0, len(ids), step)):
                     cut = ids[at : at + step]
                     out.append((doc, i, at // 4, len(cut) // 4, cut))

@@ -74,6 +74,16 @@ def test_a_word_is_made_once_and_all_go_when_they_are_many():
     assert asked[-1] == "a" and list(encoder._words) == ["a"]
 
 
+def test_many_texts_encode_by_words_as_one_by_one(words):
+    encoder, asked = WordEncoder(WORD), []
+    encoder._words._make = lambda w, make=encoder._words._make: asked.append(w) or make(w)
+    ids = [as_bytes(words[1].encode(t, add_special_tokens=False).ids) for t in MANY]
+    blobs = [t.encode() for t in MANY]
+    assert list(encoder.encode_all(blobs)) == ids == [encoder.encode(b) for b in blobs]
+    assert len(asked) == len(set(asked))
+    assert list(encoder.encode_all([])) == [] and list(encoder.encode_all([b"", b" "])) == [b"", b""]
+
+
 @pytest.mark.parametrize("highest", [0, 1, 255, 2**16 - 1, 2**16, 2**32 - 1])
 def test_planes_of_narrow_and_wide_ids(highest):
     ids = np.array([highest, 0, highest // 2, highest, 1 % (highest + 1)] * 300, dtype="<u4")
