@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
@@ -123,12 +124,15 @@ def kept_by_worker(operator: str) -> dict:
 
     Workers pass from stage to stage, and one that still held what an earlier stage needed would take room that the present
     one counts on. To be asked for at the start of each task, also by operators that keep nothing. What Arrow holds back of
-    earlier batches goes back to the system too.
+    earlier batches goes back to the system too, and so does what the C library holds of the dropped.
     """
     if operator not in _of_worker:
         _of_worker.clear()
         _of_worker[operator] = {}
         gc.collect()  # encoders and what they keep refer to each other
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+        if trim:
+            trim(0)
     pa.default_memory_pool().release_unused()
     return _of_worker[operator]
 

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.common import blobs, kept_by_worker, written
 
@@ -85,20 +86,32 @@ def counts_of(text: bytes) -> tuple[int, ...]:
     )
 
 
-def counted(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep``, and the ``COUNTS`` of each text as the struct ``counts``."""
+def counted(docs: DataFrame, keep: list[str], text: str = "text", within: str | None = None) -> DataFrame:
+    """The columns ``keep``, and the ``COUNTS`` of each text as the struct ``counts``.
+
+    ``within``: a struct among ``keep``, never null, whose field ``text`` is meant; texts then go to Python once, not twice.
+    """
     kind = pa.struct([(c, pa.int64()) for c in COUNTS])
+    kept = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]
+    field = docs.schema[within].dataType.fieldNames().index(text) if within else None
+    if within and isinstance(docs.schema[within].dataType[field].dataType, T.StringType):
+        first, of = 0, keep.index(within)
+        taken = docs.select(*kept)
+    else:
+        first, of, field = 1, 0, None
+        source = F.col(f"`{within}`").getField(text) if within else F.col(text)
+        taken = docs.select(source.cast("string").alias("text"), *kept)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept_by_worker("quality")
         for batch in batches:
-            found = [counts_of(b) for b in blobs(batch.column(0))]
+            texts = batch.column(of) if field is None else batch.column(of).field(field)
+            found = [counts_of(b) for b in blobs(texts)]
             columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)] or [pa.array([], pa.int64())] * len(COUNTS)
             counts = pa.StructArray.from_arrays(columns, fields=list(kind))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], counts], names=[*(f"k{i}" for i in range(len(keep))), "counts"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[first:], counts], names=[*(f"k{i}" for i in range(len(keep))), "counts"])
 
-    taken = docs.select(F.col(text).cast("string").alias("text"), *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)])
-    fields = ", ".join(f"k{i} {t.dataType.simpleString()}" for i, t in enumerate(taken.schema.fields[1:]))
+    fields = ", ".join(f"k{i} {t.dataType.simpleString()}" for i, t in enumerate(taken.schema.fields[first:]))
     counts = "counts struct<" + ", ".join(f"{c}: bigint" for c in COUNTS) + ">"
     rows = taken.mapInArrow(count, f"{fields}, {counts}" if fields else counts)
     return rows.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "counts")
@@ -158,23 +171,32 @@ def _moments(rows: DataFrame, inside: Column) -> DataFrame:
 
 
 def _estimates(moments: DataFrame) -> DataFrame:
-    """Centre and whitening matrix (by rows) of each part, one small row each."""
-    least = np.diag(np.square(LEAST_SPREAD))
-
-    def solve(frames):
-        kept_by_worker("quality")
-        for pdf in frames:
-            out = []
-            for mean, products in zip(pdf["mean"], pdf["products"], strict=True):
-                centre = np.array(mean, dtype=float)
-                second = np.zeros((SIZE, SIZE))
-                second[np.triu_indices(SIZE)] = products
-                cov = second + np.triu(second, 1).T - np.outer(centre, centre)
-                # Spread below the least counts as the least; correlations stay.
-                out.append(np.linalg.inv(np.linalg.cholesky(cov + least)).reshape(-1).tolist())
-            yield pdf[["part", "n", "mean"]].assign(whiten=out)
+    """Centre and whitening matrix (by rows) of each part, one small row each.
 
-    return moments.mapInPandas(solve, "part string, n long, mean array<double>, whiten array<double>")
+    The matrix is the inverse of the Cholesky factor of the covariance, column by column of both; workers for Python are
+    not needed here, so that they may end meanwhile and their memory with them.
+    """
+    places = [(i, j) for i in range(SIZE) for j in range(i, SIZE)]
+    product = {(j, i): F.col("products")[at] for at, (i, j) in enumerate(places)}
+    cov = {(i, j): x - F.col("mean")[i] * F.col("mean")[j] for (i, j), x in product.items()}
+    # Spread below the least counts as the least; correlations stay.
+    rows = moments.select("part", "n", "mean", *[(x + F.lit(LEAST_SPREAD[i] ** 2 if i == j else 0.0)).alias(f"c{i}{j}") for (i, j), x in cov.items()])
+    for j in range(SIZE):
+        rest = {i: F.col(f"c{i}{j}") for i in range(j, SIZE)}
+        for k in range(j):
+            rest = {i: x - F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for i, x in rest.items()}
+        rows = rows.withColumn(f"l{j}{j}", F.sqrt(rest[j]))
+        rows = rows.withColumns({f"l{i}{j}": rest[i] / F.col(f"l{j}{j}") for i in range(j + 1, SIZE)})
+    for i in range(SIZE):
+        made = {f"w{i}{i}": 1 / F.col(f"l{i}{i}")}
+        for j in range(i):
+            total = F.lit(0.0)
+            for k in range(j, i):
+                total = total - F.col(f"l{i}{k}") * F.col(f"w{k}{j}")
+            made[f"w{i}{j}"] = total / F.col(f"l{i}{i}")
+        rows = rows.withColumns(made)
+    whiten = [F.col(f"w{i}{j}") if j <= i else F.lit(0.0) for i in range(SIZE) for j in range(SIZE)]
+    return rows.select("part", "n", "mean", F.array(*whiten).alias("whiten"))
 
 
 def _distance() -> Column:
@@ -277,5 +299,5 @@ def good_documents(docs: DataFrame) -> DataFrame:
     """
     rates, estimates = fitted(_statistics(docs))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = counted(docs.select(row, "lang", "source", "text"), ["row", "lang", "source"])
+    rows = counted(docs.select(row), ["row"], within="row").select("row", "row.lang", "row.source", "counts")
     return judged(rows, rates, estimates).filter("kept").select("row.*")

@@ -87,6 +87,42 @@ def test_chi_squared_quantiles():
     assert math.isclose(quality.chi_squared(0.9999, 5), 25.74, rel_tol=0.03)
 
 
+def test_estimates_of_parts_need_no_python(spark):
+    rng = np.random.default_rng(3)
+    rows, wanted = [], {}
+    for part in "abc":
+        x = rng.normal(size=(60, quality.SIZE)) @ rng.normal(size=(quality.SIZE, quality.SIZE))
+        if part == "c":
+            x[:, 1:] = x[:, :1]  # no spread but along one line
+        rows += [(part, r.tolist()) for r in x]
+        cov = np.cov(x.T, bias=True) + np.diag(np.square(quality.LEAST_SPREAD))
+        wanted[part] = x.mean(axis=0), np.linalg.inv(np.linalg.cholesky(cov))
+    table = spark.createDataFrame(rows, "part string, x array<double>").localCheckpoint()
+    found = quality._estimates(quality._moments(table, quality.F.lit(True)))
+    assert not re.search("Pandas|Arrow|Python", found._jdf.queryExecution().executedPlan().toString())
+    got = {r.part: r for r in found.collect()}
+    assert set(got) == set(wanted)
+    for part, (mean, whiten) in wanted.items():
+        assert got[part].n == 60 and np.allclose(got[part].mean, mean)
+        assert np.allclose(np.reshape(got[part].whiten, whiten.shape), whiten, rtol=1e-6, atol=1e-9)
+
+
+def test_texts_go_to_python_once(spark, monkeypatch):
+    seen = []
+
+    def counted(docs, *args, **named):
+        rows = found(docs, *args, **named)
+        seen.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return rows
+
+    found = quality.counted
+    monkeypatch.setattr(quality, "counted", counted)
+    docs = spark.createDataFrame([(1, "a b c", "en", "web")], "doc_id long, text string, lang string, source string")
+    quality.good_documents(docs)
+    below = seen[-1].split("MapInArrow")[1]
+    assert len(re.findall(r"text#\d+(?= AS k|,| AS text)", below.split("LogicalRDD")[0].split("LocalRelation")[0])) == 1, below
+
+
 # -- personal data --------------------------------------------------------------------------------
 
 PLAIN = {

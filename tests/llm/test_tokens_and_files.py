@@ -238,3 +238,15 @@ def test_a_worker_gives_back_what_it_kept_and_what_arrow_held():
     kept_by_worker("another")
     assert gone() is None
     assert held_mb() < before - 50
+
+
+def test_a_worker_gives_back_what_the_c_library_held():
+    def held_mb():
+        return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text()))) / 1024
+
+    kept_by_worker("one")["texts"] = texts = [b"%d" % i * 400 for i in range(40_000)]
+    last = texts[::400]  # what stays in between, so that nothing goes by itself
+    del texts
+    before = held_mb()
+    kept_by_worker("another")
+    assert len(last) == 100 and held_mb() < before - 40
