@@ -19,6 +19,7 @@ SCHEMAS = (
     "source int, p_identifier string, p_name string",
 )
 
+
 def shuffle_files(spark):
     blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
     return {f for f in blocks.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
